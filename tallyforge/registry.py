@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.plans import code_queries, price_queries  # noqa: F401 - code_queries adds to the same table
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(price_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(price_queries.SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_partkey").count()
+    """Reconciliation of two price readings, judged by supplier."""
+    return price_queries.QUERIES["reconcile_suppliers"](spark, sf_dir)
