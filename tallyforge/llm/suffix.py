@@ -7,7 +7,9 @@ Consecutive windows with one anchor are a run; the anchor's 24-gram names the bu
 is its rank, precomputed, so that long ties are resolved by comparing ranks instead of bytes:
 1. per bucket, the number of runs, whether their ranks differ, and the first document, aggregated before the shuffle;
 2. in buckets of one rank, each later run repeats the first; in buckets of several, each later run of a rank repeats its first;
-3. only the first runs of the ranks in mixed buckets are compared window by window, by 128-bit hashes.
+3. a window that two runs share holds the 24-gram and 38 bytes more on its left or its right: of the first runs of the ranks
+   in mixed buckets, those go on that share such a side with another;
+4. only they are compared window by window, by 128-bit hashes, at the offsets that the shared side allows.
 Memory is bounded by a chunk of text for each task and by the marks of one document; no bucket is held in one task.
 
 Hashes stand for the strings (run: 24-gram and content, 64 bits each; window: 128 bits). Null texts are empty; a null doc_id
@@ -29,9 +31,12 @@ from tallyforge.llm.minhash import mixed
 
 LENGTH = 100
 GRAM = 24
+#: Bytes beside the 24-gram that any window has on one side at least.
+HALF = (LENGTH - GRAM) // 2
 #: Bytes that are scanned at once; positions in them fit the low 20 bits of a packed value.
 CHUNK = (1 << 20) - 256
-RUNS = "doc_id long, bucket long, rank long, start int, n int, again boolean"
+RUNS = "doc_id long, bucket long, rank long, start int, n int, at int, again boolean"
+SIDES = "doc_id long, start int, n int, at int, side int, content long"
 WINDOWS = "doc_id long, wa long, wb long, start int, again boolean"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _POSITION = np.uint64((1 << 20) - 1)
@@ -65,7 +70,9 @@ def _hash(sums: np.ndarray, which: int, begin: np.ndarray, end: np.ndarray) -> n
 
 
 def scan(data: np.ndarray, valid: np.ndarray, limits: np.ndarray):
-    """Runs of a chunk: start of the first window, number of windows, bucket and rank. limits: where a run can't go on."""
+    """Runs of a chunk: start of the first window, number of windows, place of the anchor after the start, bucket and rank.
+
+    limits: a run ends where these change."""
     byte, odd, _, _ = _tables()
     with np.errstate(over="ignore"):
         h = byte[0][data]
@@ -88,7 +95,7 @@ def scan(data: np.ndarray, valid: np.ndarray, limits: np.ndarray):
         anchor = anchor[: len(valid)]
         at = np.flatnonzero(valid[: len(anchor)])
         if not len(at):
-            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+            return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
         own = anchor[at]
         new = np.ones(len(at), bool)
         new[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1) | (limits[at[1:]] != limits[at[:-1]])
@@ -96,7 +103,7 @@ def scan(data: np.ndarray, valid: np.ndarray, limits: np.ndarray):
         count = np.diff(np.append(first, len(at)))
         start = at[first]
         sums = _sums(data, 0)
-        return start, count, gram[own[first]], _hash(sums, 0, start, start + count - 1 + LENGTH)
+        return start, count, own[first] - start, gram[own[first]], _hash(sums, 0, start, start + count - 1 + LENGTH)
 
 
 def chunks(texts: list[bytes]):
@@ -120,16 +127,16 @@ def chunks(texts: list[bytes]):
 
 
 def runs(texts: list[bytes]):
-    """Arrays document, start, n, bucket, rank of all runs of the texts, in order."""
+    """Arrays document, start, n, anchor, bucket, rank of all runs of the texts, in order."""
     for pieces in chunks(texts):
         data = np.frombuffer(b"".join(p for _, _, p in pieces), np.uint8)
         sizes = np.array([len(p) for _, _, p in pieces])
         begin = np.cumsum(sizes) - sizes
         piece = np.repeat(np.arange(len(pieces)), sizes)
         valid = np.arange(len(data)) + LENGTH <= (begin + sizes)[piece]
-        start, count, bucket, rank = scan(data, valid, piece)
+        start, count, at, bucket, rank = scan(data, valid, piece)
         of = piece[start]
-        yield np.array([i for i, _, _ in pieces])[of], start - begin[of] + np.array([b for _, b, _ in pieces])[of], count, bucket, rank
+        yield np.array([i for i, _, _ in pieces])[of], start - begin[of] + np.array([b for _, b, _ in pieces])[of], count, at, bucket, rank
 
 
 def _earlier(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,26 +172,53 @@ def all_runs(plain: DataFrame) -> DataFrame:
                 found = list(runs(texts))
                 if not found:
                     continue
-                doc, start, n, bucket, rank = (np.concatenate(x) for x in zip(*found, strict=True))
+                doc, start, n, at, bucket, rank = (np.concatenate(x) for x in zip(*found, strict=True))
                 again = _earlier(doc, bucket, rank)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), _signed(bucket), _signed(rank), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)], ["doc_id", "bucket", "rank", "start", "n", "again"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), _signed(bucket), _signed(rank), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(again)], ["doc_id", "bucket", "rank", "start", "n", "at", "again"])
 
     return plain.mapInArrow(find, RUNS)
 
 
+def side_rows(listed: DataFrame) -> DataFrame:
+    """Hashes of the sides of the runs listed for each document (doc_id, text, runs): 0 left, 1 right, where the run has windows that reach so far."""
+
+    def find(batches):
+        for batch in batches:
+            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
+                data = text.encode()
+                start, n, at = (np.array([r[k] for r in own], np.int64) for k in ("start", "n", "at"))
+                p = start + at
+                rows = []
+                for side, there, begin in ((0, at >= HALF, p - HALF), (1, start + n - 1 + LENGTH >= p + GRAM + HALF, p)):
+                    for i in np.flatnonzero(there):
+                        piece = data[begin[i] : begin[i] + GRAM + HALF]
+                        rows.append((start[i], n[i], at[i], side, int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True)))
+                if rows:
+                    columns = list(zip(*rows, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(rows), pa.int64()), *[pa.array(np.array(c, np.int32)) for c in columns[:4]], pa.array(columns[4], pa.int64())], ["doc_id", "start", "n", "at", "side", "content"])
+
+    return listed.mapInArrow(find, SIDES)
+
+
 def window_rows(listed: DataFrame) -> DataFrame:
-    """The windows of the runs listed for each document (doc_id, text, runs)."""
+    """The windows of the runs listed for each document (doc_id, text, runs), as far as their shared sides (bit 0 left, bit 1 right) allow."""
 
     def find(batches):
         for batch in batches:
             for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
                 data = np.frombuffer(text.encode(), np.uint8)
-                places = [np.arange(r["start"], r["start"] + r["n"]) for r in sorted(own, key=lambda r: r["start"])]
-                pairs = []
+                places, pairs = [], []
                 with np.errstate(over="ignore"):
-                    for p in places:
-                        piece = data[p[0] : p[-1] + LENGTH]
-                        pairs.append([_hash(_sums(piece, k), k, p - p[0], p - p[0] + LENGTH) for k in (0, 1)])
+                    for r in sorted(own, key=lambda r: r["start"]):
+                        p = np.arange(r["start"], r["start"] + r["n"])
+                        left = r["start"] + r["at"] - p >= HALF
+                        p = p[(left & (r["sides"] & 1 > 0)) | (r["start"] + r["at"] - p <= HALF) & (r["sides"] & 2 > 0)]
+                        if len(p):
+                            piece = data[p[0] : p[-1] + LENGTH]
+                            places.append(p)
+                            pairs.append([_hash(_sums(piece, k), k, p - p[0], p - p[0] + LENGTH) for k in (0, 1)])
+                if not places:
+                    continue
                 at = np.concatenate(places)
                 a, b = (np.concatenate([x[k] for x in pairs]) for k in (0, 1))
                 again = _earlier(np.zeros(len(at), np.int8), a, b)
@@ -211,12 +245,17 @@ def repeated_windows(plain: DataFrame) -> DataFrame:
     buckets = B.written(buckets.where("n_runs > 1").select("bucket", "first", (F.col("low") != F.col("high")).alias("mixed")), "buckets")
     # Runs that their own document had before are repeats whatever their bucket; the others need it.
     met = found.join(buckets, "bucket", "left").where("again or mixed or doc_id > first")
-    met = B.written(met.select("doc_id", "bucket", "rank", "start", "n", (F.col("again") | ~F.col("mixed")).alias("sure")), "runs")
+    met = B.written(met.select("doc_id", "bucket", "rank", "start", "n", "at", (F.col("again") | ~F.col("mixed")).alias("sure")), "runs")
     unsure = met.where("not sure")
     ranks = B.written(unsure.groupBy("bucket", "rank").agg(F.min("doc_id").alias("first")), "ranks")
     # A bucket may be mixed only within one document, so ranks of a single run are compared too.
-    ranked = B.written(unsure.join(ranks, ["bucket", "rank"]).select("doc_id", "start", "n", (F.col("doc_id") > F.col("first")).alias("later")), "ranked")
-    to_compare = B.written(ranked.where("not later").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "first_runs")
+    ranked = B.written(unsure.join(ranks, ["bucket", "rank"]).select("doc_id", "start", "n", "at", (F.col("doc_id") > F.col("first")).alias("later")), "ranked")
+    listed = lambda rows, *more: rows.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "at", *more)).alias("runs"))
+    first_runs = B.written(listed(ranked.where("not later")), "first_runs")
+    sides = B.written(side_rows(plain.join(first_runs, "doc_id").select("doc_id", "text", "runs")), "sides")
+    shared = B.written(sides.groupBy("side", "content").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("side", "content"), "shared_sides")
+    meeting = sides.join(shared, ["side", "content"], "left_semi").groupBy("doc_id", "start", "n", "at").agg(F.bit_or(F.expr("shiftleft(1, side)")).alias("sides"))
+    to_compare = B.written(listed(meeting, "sides"), "meeting_runs")
     windows = B.written(window_rows(plain.join(to_compare, "doc_id").select("doc_id", "text", "runs")), "windows")
     firsts = windows.where("not again").groupBy("wa", "wb").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     firsts = B.written(firsts, "window_firsts")

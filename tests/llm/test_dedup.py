@@ -99,7 +99,7 @@ def one_machine(items):
     rows = [r for part in S.runs(raw) for r in zip(*part, strict=True)]
     marks, seen = {i: [] for i in range(len(raw))}, {}
     buckets = {}
-    for doc, start, n, bucket, rank in rows:
+    for doc, start, n, _, bucket, rank in rows:
         buckets.setdefault(int(bucket), []).append((doc, start, n, int(rank)))
     for own in buckets.values():
         for doc, start, n, _ in own:
