@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm import _base as B
-from tallyforge.llm import bpe, chat, classifier, decontam, minhash, pii, rules, suffix, token_output, warc
+from tallyforge.llm import bpe, chat, classifier, decontam, minhash, pii, rules, sql, suffix, token_output, warc
 
 #: The conversation whose texts are control strings of common templates.
 CONTROL_TALK = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -68,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
