@@ -144,7 +144,7 @@ def reference_stem(c: Column) -> Column:
 
 def identifier_pieces(c: Column) -> Column:
     """Pieces of a cell with several identifiers, cut at ``+`` and wide gaps (SC35)."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\s*\+\s*|\s{2,}"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\s*\+\s*|\s{2,}"), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def usable_manufacturer_ref(c: Column, not_references: tuple[str, ...] = ("SELON", "VOIR", "N/A", "SUR DEMANDE")) -> Column:
@@ -176,7 +176,7 @@ def doubtful_link(source: Column, ref: Column, least: int = 9) -> Column:
 
 
 def english_date(c: Column) -> Column:
-    """``18-SEP-26`` as a date, null where it isn't one (SC44)."""
+    """``18-SEP-26`` as a date of this century, null where it isn't one (SC44)."""
     return F.to_date(F.try_to_timestamp(F.initcap(F.trim(c)), F.lit("dd-MMM-yy")))
 
 
