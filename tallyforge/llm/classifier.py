@@ -2,7 +2,7 @@
 
 Terms are the hashed pairs of adjacent bytes and some shape tokens (capitals, digits, symbols, repeated lines and words). On
 a bounded sample of labelled documents (``SAMPLE`` rows, those of smallest hash) the weights log(1 + count) * idf are factored
-by SVD; the ``RANK`` leading directions and the sample's vectors are broadcast: SAMPLE * RANK + TERMS * RANK floats, some 2 MB.
+by SVD; the ``RANK`` leading directions and the sample's vectors are broadcast: SAMPLE * RANK + TERMS * RANK floats, under 1 MB.
 Every document is projected, its exact cosines with all labelled vectors are computed in blocks, and the labels of the
 ``NEIGHBOURS`` nearest vote with weights cosine ** ``SHARP``; a vote of the overall share of label 1 is added.
 
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import _base as B
 
-SAMPLE = 4000
+SAMPLE = 3000
 RANK = 48
-TERMS = 4096
+TERMS = 1024
 NEIGHBOURS = 25
 SHARP = 4
 PRIOR = 0.1
@@ -45,7 +45,7 @@ for _b in range(256):
 def counts(text: str) -> np.ndarray:
     """Term counts of one text, as shares of its bytes."""
     data = np.frombuffer(text.encode(), np.uint8)
-    out = np.zeros(TERMS)
+    out = np.zeros(TERMS, np.float32)
     if not len(data):
         return out
     out[: TERMS - SHAPES] = np.bincount(_BINS[data[:-1].astype(np.int64) << 8 | data[1:]], minlength=TERMS - SHAPES)
@@ -66,14 +66,15 @@ class Space:
 
     def __init__(self, texts: list[str], marks: list[int]):
         self.share = (sum(marks) + 1) / (len(marks) + 2)
-        grid = np.log1p(np.array([counts(t) for t in texts]).reshape(len(texts), TERMS))
-        self.idf = np.log((1 + len(texts)) / (1 + (grid > 0).sum(axis=0))) + 1
-        weights = grid * self.idf
-        self.mean = weights.mean(axis=0) if len(texts) else np.zeros(TERMS)
-        values, vectors = np.linalg.eigh((weights - self.mean).T @ (weights - self.mean)) if len(texts) else (np.zeros(TERMS), np.zeros((TERMS, TERMS)))
+        grid = np.log1p(np.array([counts(t) for t in texts], np.float32).reshape(len(texts), TERMS))
+        self.idf = (np.log((1 + len(texts)) / (1 + (grid > 0).sum(axis=0))) + 1).astype(np.float32)
+        grid *= self.idf
+        self.mean = grid.mean(axis=0) if len(texts) else np.zeros(TERMS, np.float32)
+        grid -= self.mean
+        _, vectors = np.linalg.eigh(grid.T @ grid)
         self.axes = vectors[:, ::-1][:, :RANK].astype(np.float32)
         self.labels = np.array(marks, np.float32)
-        self.known = self._unit((weights - self.mean) @ self.axes).astype(np.float32)
+        self.known = self._unit(grid @ self.axes).astype(np.float32)
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
