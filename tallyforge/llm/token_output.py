@@ -13,6 +13,7 @@ Null texts are empty and have the end id alone; null doc_ids come first; repeate
 
 from __future__ import annotations
 
+import array
 import functools
 import struct
 import uuid
@@ -31,9 +32,11 @@ MAGIC = b"TFPF1\n"
 BLOCK = 256
 SHARE = 0.9
 END_ID = 1
-#: Ids that are packed at once.
+#: Ids that are packed at once; words and stems that a worker remembers.
 CHUNK = BLOCK * 2048
-CACHE = 400_000
+CACHE = 500_000
+#: Marks that are cut off the end of a word.
+PUNCTUATION = ".,;:!?"
 SHARDS = "shard string, part int, n_ids long, n_docs long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _HEAD = struct.Struct("<HIBH")
@@ -164,32 +167,53 @@ class ShardReader:
             at += len(ids)
 
 
-class WordEncoder:
-    """Encodes text word by word with the tokenizers library; the tokenizer drops white space and never joins words across it."""
+class WordEncoder(dict):
+    """Encodes text word by word with the tokenizers library; the tokenizer drops white space and never joins words across it.
+
+    A dictionary from word to ids that fills itself. Marks behind a letter or digit are a token of their own, and case means
+    nothing to the tokenizer, so a new word is mostly a known stem with known marks.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def learn(self, texts: list[list[str]]) -> None:
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-            known[""] = b""
-        new = list({w for words in texts for w in words if w not in known})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        super().__init__({"": b""})
+        whole = Tokenizer.from_file(path)
+        self.whole, self.normal, self.cut, self.merge = whole.encode, whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str, whole.model.tokenize
+        self.special = [t.content for t in whole.get_added_tokens_decoder().values()]
+        self.stems: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > CACHE:
+            self.clear()
+        stem = word.rstrip(PUNCTUATION)
+        if not stem or not stem[-1].isalnum():
+            stem = word
+        made = self._stem(stem.lower() if stem.isascii() and stem.isalpha() else stem)
+        if len(stem) < len(word):
+            made += self._stem(word[len(stem) :])
+        self[word] = made
+        return made
+
+    def _stem(self, stem: str) -> bytes:
+        made = self.stems.get(stem)
+        if made is None:
+            if any(t in stem for t in self.special):
+                ids = self.whole(stem, add_special_tokens=False).ids
+            elif stem.isascii() and stem.isalpha():
+                # Lower-case letters are one pre-token, which normalisation and byte letters leave as it is.
+                ids = [t.id for t in self.merge(stem)]
+            else:
+                ids = [t.id for piece, _ in self.cut(self.normal(stem)) for t in self.merge(piece)]
+            made = array.array("I", ids).tobytes()
+            if len(self.stems) > CACHE:
+                self.stems.clear()
+            self.stems[stem] = made
+        return made
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(cut)
-        get = self.known.__getitem__
-        end = struct.pack("<I", END_ID)
-        return [np.frombuffer(b"".join(map(get, words)) + end, "<u4") for words in cut]
+        end, get = struct.pack("<I", END_ID), self.__getitem__
+        return [np.frombuffer(b"".join(map(get, t.replace("\n", " ").split(" "))) + end, "<u4") for t in texts]
 
 
 @functools.lru_cache(maxsize=2)
