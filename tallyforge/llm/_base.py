@@ -96,7 +96,3 @@ def has(df: DataFrame) -> bool:
 def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
-
-def hot_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Equi-join whose sides are both tables or plain scans: with an exchange directly below each side, adaptive execution can split hot keys."""
-    return left.join(right, on, how)
