@@ -121,16 +121,19 @@ def disclosing_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_text = protected.select("text_hash", F.inline("pairs")).groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     beside = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= SUPPORT)
     entities = protected.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    candidates = B.written(beside.join(entities, "entity"), "candidates")
+    near = protected.select(F.explode(F.array_distinct(F.transform("pairs", lambda p: p["term"]))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    total = float(plain.count())
+    disclosure = lambda n: F.log(F.col("n_both") * total / (F.col(n).cast("double") * F.col("n_entity"))) / F.log(total / F.col("n_entity"))
+    # A term occurs in n_near documents at least, so this bound loses nothing and leaves frequent words out early.
+    likely = beside.join(entities, "entity").where(F.col("n_entity") < total).join(near, "term").where(disclosure("n_near") >= GENERALISE)
+    candidates = B.written(likely.drop("n_near"), "candidates")
     terms = candidates.select("term").distinct()
     occurring = plain.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     if candidates.count() <= BROADCAST_TERMS:
         in_texts = occurring.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     else:
         in_texts = occurring.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = float(plain.count())
-    rules = candidates.join(in_texts, "term").where(F.col("n_entity") < total)
-    rules = rules.withColumn("disclosure", F.log(F.col("n_both") * total / (F.col("n_term").cast("double") * F.col("n_entity"))) / F.log(total / F.col("n_entity")))
+    rules = candidates.join(in_texts, "term").withColumn("disclosure", disclosure("n_term"))
     return protected, B.written(rules.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure"), "disclosing")
 
 
