@@ -3,12 +3,15 @@
 A document's set are its distinct five-word shingles (A-Z lower-cased; fewer words: the whole sequence). Documents with equal
 sets are one class, and only its smallest doc_id goes on. Each of ``TREES`` trees orders the classes by ``DEPTH`` of their own
 minimum hashes. A region are the classes that share a prefix of a tree's order; it starts at depth ``FIRST`` and is adaptively
-deepened while it holds more than ``REGION`` classes. Candidates:
+deepened while it holds more than ``REGION`` classes. Classes of a region that was deepened are crowded: they get ``MORE`` trees
+of full depth besides, as pairs may part where a region is deepened. Candidates:
 1. each class with the most central member of its regions, its best one by the number of trees;
 2. after linking those, all pairs in a region whose members are still in different components. A large region that the first
    step has connected has few of these, so no group emits all its pairs and no partner is left out.
 Pairs of step 2 are compared by sketches of more hashes first (see FINE_AGREE). Every link is
-confirmed on the full sets, 100 * intersection >= 75 * union. A pair at exactly 0.75 meets in no tree once in 10^7.
+confirmed on the full sets, 100 * intersection >= 75 * union. A pair at exactly 0.75 meets in no region once in 10^7: it shares
+no prefix of depth FIRST with a probability of 6.6e-8; if all regions it shares were deepened, both its classes are crowded, and
+it parts in all TREES + MORE trees at full depth with 2.5e-8. The sketches of step 2 lose another 1e-7 of the pairs they judge.
 
 Null and empty texts are linked with nothing. Rows that repeat a doc_id are one node; rows without doc_id are kept.
 """
@@ -31,6 +34,8 @@ SIMILARITY = 75
 TREES = 20
 DEPTH = 4
 FIRST = 2
+#: Further trees of crowded classes: (1 - 0.75^4)^46 = 2.5e-8.
+MORE = 26
 REGION = 64
 #: Hashes of the sketches that pairs in split regions are compared by, and how many have to agree. A pair at 0.75 agrees in
 #: 784 of 1,024 on average (four equal bits count), with a deviation of 13.6, so it falls below 713 once in 10^7.
@@ -114,6 +119,21 @@ def signed(docs: DataFrame) -> DataFrame:
     return B.texts(docs).mapInArrow(sign, SIGNED)
 
 
+def more_signed(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and more, the minimum hashes of the MORE trees, of the documents ids."""
+
+    def sign(batches):
+        rng = np.random.default_rng(20240502)
+        odd, shift = rng.integers(0, 2**63, MORE * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, MORE * DEPTH, dtype=np.uint64)
+        for batch in batches:
+            rows = [(minima(shingle_hashes(text), odd, shift) >> np.uint64(32)).astype(np.uint32).view(np.int32) for text in batch.column("text").to_pylist()]
+            ends = np.arange(len(rows) + 1, dtype=np.int32) * (MORE * DEPTH)
+            flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "more"])
+
+    return B.texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(sign, "doc_id long, more array<int>")
+
+
 def shingle_set(text: Column) -> Column:
     """The set of hashed shingles of a text, by Spark expressions."""
     whole = lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.array_join(w, " "))))
@@ -132,13 +152,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return B.written(both.where(alike).select("a", "b").distinct(), "links")
 
 
-def regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, n_shingles, tree, region; stars: doc_id, hub) of the classes' trees.
+def regions(classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: doc_id, n_shingles, tree, region; stars: doc_id, hub; signatures of crowded classes: doc_id, more) of the classes' trees.
 
     The hub of a region is its most central member: the one whose regions at depth FIRST are largest in all trees together, as
     those of the text are that the others were copied from.
     """
-    at = lambda t, d: F.xxhash64(F.lit(t), F.lit(d), *[F.get("signature", F.lit(t * DEPTH + i)) for i in range(d)])
+    path = lambda c, t, k, d: F.xxhash64(F.lit(t), F.lit(d), *[F.get(c, F.lit(k * DEPTH + i)) for i in range(d)])
+    at = lambda t, d: path("signature", t, t, d)
     depths = range(FIRST, DEPTH + 1)
     tree = lambda t: F.struct(F.lit(t).alias("tree"), *[at(t, d).alias(f"d{d}") for d in depths])
     active = B.written(classes.select("doc_id", "n_shingles", F.inline(F.array(*[tree(t) for t in range(TREES)]))), "trees")
@@ -150,6 +171,7 @@ def regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         B.drop(active)
         if degrees is None:
             degrees = B.written(placed.groupBy("doc_id").agg(F.sum("n").alias("degree")), "degrees")
+            crowded = B.written(placed.where(F.col("n") > REGION).select("doc_id", "n_shingles").distinct(), "crowded")
         central = F.max(F.struct("degree", (-F.col("doc_id")).alias("minus_id"))).alias("top")
         hubs = B.written(placed.join(degrees, "doc_id").groupBy(key).agg(central).select(key, (-F.col("top.minus_id")).alias("hub")), "hubs")
         stars.append(placed.join(hubs, key).select("doc_id", "hub"))
@@ -157,8 +179,13 @@ def regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         members.append((placed if last else placed.where(F.col("n") <= REGION)).select("doc_id", "n_shingles", "tree", F.col(key).alias("region")))
         if not last:
             active = B.written(placed.where(F.col("n") > REGION).select("doc_id", "n_shingles", "tree", *[f"d{x}" for x in depths if x > d]), "trees")
+    more = B.written(more_signed(docs, crowded.select("doc_id").distinct()), "more_signatures")
+    deep = lambda k: F.struct(F.lit(TREES + k).alias("tree"), path("more", TREES + k, k, DEPTH).alias("region"))
+    active = B.written(crowded.join(more, "doc_id").select("doc_id", "n_shingles", F.inline(F.array(*[deep(k) for k in range(MORE)]))), "more_trees")
+    groups = B.written(active.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "region_sizes")
+    members.append(active.join(groups.select("region"), "region", "left_semi").select("doc_id", "n_shingles", "tree", "region"))
     union = lambda parts: functools.reduce(DataFrame.unionAll, parts)
-    return union(members), union(stars)
+    return union(members), union(stars), more
 
 
 def sketched(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -179,7 +206,7 @@ def sketched(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return B.texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(sketch, schema)
 
 
-def crossing(members: DataFrame, roots: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFrame:
+def crossing(members: DataFrame, roots: DataFrame, signatures: DataFrame, more: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs in one region whose members lie in different components and whose sketches agree enough."""
     placed = members.join(roots, F.col("doc_id") == F.col("node"), "left").select("tree", "region", "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("root"))
     placed = B.written(placed, "members")
@@ -187,15 +214,17 @@ def crossing(members: DataFrame, roots: DataFrame, signatures: DataFrame, docs:
     split = B.written(held.where("n_roots > 1").select("region", F.col("most.root").alias("main")), "split_regions")
     mixed_members = B.written(placed.join(split, "region"), "mixed_members")
     ids = B.written(mixed_members.select("doc_id").distinct(), "mixed_ids")
-    leaf = lambda t: F.hash(*[F.get("signature", F.lit(t * DEPTH + i)) for i in range(DEPTH)]).alias(f"leaf{t}")
-    leaves = signatures.join(ids, "doc_id", "left_semi").select("doc_id", *[leaf(t) for t in range(TREES)])
+    leaf = lambda c, t, k: F.hash(*[F.get(c, F.lit(k * DEPTH + i)) for i in range(DEPTH)]).alias(f"leaf{t}")
+    # Classes that aren't crowded have no ``more``; their leaves of those trees are equal, but no region of a later tree holds them.
+    paths = [*[leaf("signature", t, t) for t in range(TREES)], *[leaf("more", TREES + k, k) for k in range(MORE)]]
+    leaves = signatures.join(ids, "doc_id", "left_semi").join(more, "doc_id", "left").select("doc_id", *paths)
     wide = B.written(mixed_members.join(leaves, "doc_id").join(B.written(sketched(docs, ids), "sketches"), "doc_id"), "wide_members")
     every, other = wide.alias("y"), wide.where("root != main").alias("x")  # of two components in a region, one at least isn't its main one
     col = lambda side, c: F.col(f"{side}.{c}")
     fits = 100 * F.least(col("x", "n_shingles"), col("y", "n_shingles")) >= SIMILARITY * F.greatest(col("x", "n_shingles"), col("y", "n_shingles"))
     agree = functools.reduce(operator.add, [_same_nibbles(col("x", f"w{k}"), col("y", f"w{k}")) for k in range(FINE // 16)])
     # A pair that shares a whole path of an earlier tree is formed there.
-    before = functools.reduce(operator.or_, [(col("x", "tree") > t) & (col("x", f"leaf{t}") == col("y", f"leaf{t}")) for t in range(TREES - 1)])
+    before = functools.reduce(operator.or_, [(col("x", "tree") > t) & (col("x", f"leaf{t}") == col("y", f"leaf{t}")) for t in range(TREES + MORE - 1)])
     on = (col("x", "region") == col("y", "region")) & (col("x", "root") != col("y", "root")) & fits & ~before & (agree >= FINE_AGREE)
     pairs = other.join(every, on).select(F.least(col("x", "doc_id"), col("y", "doc_id")).alias("a"), F.greatest(col("x", "doc_id"), col("y", "doc_id")).alias("b"))
     return B.written(pairs.distinct(), "near_pairs")
@@ -216,12 +245,12 @@ def linked(docs: DataFrame) -> DataFrame:
     keys = ["n_shingles", "key_a", "key_b"]
     classes = B.written(filled.groupBy(*keys).agg(F.min("doc_id").alias("first")), "classes")
     signatures = B.written(filled.join(classes.select("first"), F.col("doc_id") == F.col("first"), "left_semi").select("doc_id", "n_shingles", "signature"), "class_signatures")
-    members, stars = regions(signatures)
+    members, stars, more = regions(signatures, docs)
     votes = stars.where("doc_id != hub").groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("doc_id").agg(F.max(F.struct("votes", (-F.col("hub")).alias("minus_hub"))).alias("best"))
     first = B.written(best.select((-F.col("best.minus_hub")).alias("a"), F.col("doc_id").alias("b")), "star_pairs")
     links = confirmed(first, docs)
-    links = links.unionAll(confirmed(crossing(members, components(links), signatures, docs), docs))
+    links = links.unionAll(confirmed(crossing(members, components(links), signatures, more, docs), docs))
     roots = components(links)
     known = classes.join(roots, F.col("first") == F.col("node"), "left").select(*keys, F.coalesce("root", "first").alias("component"))
     known = B.written(known, "class_components")

@@ -72,6 +72,23 @@ def test_deep_regions(spark, monkeypatch):
     assert got == near(items)
 
 
+def test_pairs_of_deepened_regions(spark, monkeypatch):
+    """A near pair whose regions are all deepened and part below depth FIRST is found by the trees of crowded classes."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(8))
+    base = [word() for _ in range(60)]
+    items = [(i, " ".join(word() for _ in range(60))) for i in range(M.REGION + 6)] + [(100, " ".join(base)), (101, " ".join([*base[:59], word()]))]
+    rows = []
+    for d, t in items:
+        s = M.shingle_hashes(t)
+        first = [k if i < M.FIRST else d * 1000 + i for k in range(M.TREES) for i in range(M.DEPTH)]
+        rows.append((d, len(s), d, d, first))
+    monkeypatch.setattr(M, "signed", lambda docs: spark.createDataFrame(rows, M.SIGNED))
+    got = {r.doc_id: r.component_id for r in M.linked(frame(spark, items)).collect()}
+    assert got == {d: 100 if d == 101 else d for d, _ in items}
+    assert (1 - 0.75**M.DEPTH) ** (M.TREES + M.MORE) < 1e-7
+
+
 def test_repeated_strings(spark):
     items = list(enumerate(texts(3, 60)))
     want = suffix(items)
