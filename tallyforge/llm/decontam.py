@@ -7,6 +7,10 @@ alignment; it counts if its slots are consistent, that is each value of the item
 item is leaked into a document if consistent alignments cover 75 % of the item's windows, so verbatim copies and copies with
 other numbers, names or units are found alike.
 
+A capitalised word that opens a sentence, a quote or the text may be a name or not, so there are two forms of each sequence: it
+is a literal in the strict form and ``\\x01`` in the loose one. Windows meet within a form, and alignments of either form cover
+the item's windows; which windows count is told by the strict form.
+
 DataFrame operations only. Null and short texts (under five words) and short items match nothing; repeated rows of a
 document count once; documents with a null id are reported under a null id.
 """
@@ -28,23 +32,27 @@ _EDGE = ".,;:!?()[]\"'"
 
 
 def canonical(text: Column) -> Column:
-    """Struct of ``canon`` and ``raw``, arrays of words of one length; text isn't null."""
+    """Struct of ``canon``, ``loose`` and ``raw``, arrays of words of one length; text isn't null."""
 
     def both(t: Column) -> Column:
-        c = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+", "\u0001")
+        c = F.regexp_replace(F.translate(t, "\u0004\u0005", ""), r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+", "\u0001")
+        c = F.regexp_replace(c, r"(?<![\p{L}\p{N}\x01]['’-]?)\p{Lu}\p{Ll}+", "\u0004$0\u0005")
         c = F.regexp_replace(F.lower(c), r"[0-9](?:[0-9.,:/]*[0-9])?", "\u0002")
-        c = F.regexp_replace(c, rf"(?<=\u0002 ?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", "\u0003")
-        c = F.regexp_replace(c, r"[^\p{L}\p{N} \u0001\u0002\u0003]+", "")
-        none = F.array().cast("array<string>")
-        return F.struct(F.when(t == "", none).otherwise(F.split(c, " ", -1)).alias("canon"), F.when(t == "", none).otherwise(F.split(F.lower(t), " ", -1)).alias("raw"))
+        c = F.regexp_replace(c, rf"(?<=\u0002 ?)(?:{UNITS})(?![\p{{L}}\p{{N}}\x04])", "\u0003")
+        c = F.regexp_replace(c, r"[^\p{L}\p{N} \u0001-\u0005]+", "")
+        cut = lambda x: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(x, " ", -1))
+        return B.let(c, lambda c: F.struct(cut(F.translate(c, "\u0004\u0005", "")).alias("canon"), cut(F.regexp_replace(c, "\u0004[^\u0005]*\u0005", "\u0001")).alias("loose"), cut(F.lower(t)).alias("raw")))
 
     return B.let(F.regexp_replace(F.btrim(text, F.lit(B.TRIMMED)), B.SPACE + "+", " "), both)
 
 
 def with_windows(table: DataFrame, key: str) -> DataFrame:
-    """key, w (canon, raw) and hashes of the windows of table's texts."""
-    made = table.select(key, B.let(canonical(F.col("text")), lambda w: F.struct(w["canon"].alias("canon"), w["raw"].alias("raw"), B.let(w["canon"], lambda c: B.window_hashes(c, WINDOW)).alias("hashes"))).alias("w"))
-    return made.select(key, F.col("w.canon").alias("canon"), F.col("w.raw").alias("raw"), F.posexplode("w.hashes").alias("at", "h"))
+    """key, w (canon, loose, raw), hashes of the windows of table's texts; a row for each hash h, the strict one, the loose one or both."""
+    hashes = lambda c: B.let(c, lambda c: B.window_hashes(c, WINDOW))
+    both = lambda w: F.struct(w["canon"].alias("canon"), w["loose"].alias("loose"), w["raw"].alias("raw"), F.arrays_zip(hashes(w["canon"]).alias("strict"), hashes(w["loose"]).alias("free")).alias("hashes"))
+    made = table.select(key, B.let(canonical(F.col("text")), both).alias("w"))
+    made = made.select(key, F.col("w.canon").alias("canon"), F.col("w.loose").alias("loose"), F.col("w.raw").alias("raw"), F.posexplode("w.hashes").alias("at", "x"))
+    return made.select("*", F.explode(F.array_distinct(F.array("x.strict", "x.free"))).alias("h"))
 
 
 def slots(canon: Column, raw: Column) -> Column:
@@ -56,19 +64,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows (covered), coverage of each item that leaked into a document."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     cut = lambda c: F.slice(c, F.col("at") + 1, F.lit(WINDOW))
-    bench = with_windows(items, "item_id").select("item_id", F.col("at").alias("item_at"), "h", cut(F.col("canon")).alias("item_canon"), slots(cut(F.col("canon")), cut(F.col("raw"))).alias("item_slots"))
-    bench = bench.where(F.size(F.filter("item_canon", lambda c: (F.length(c) > 0) & ~c.rlike("[\u0001-\u0003]"))) >= LITERALS).drop("item_canon")
-    bench = B.written(bench.dropDuplicates(["item_id", "item_at"]), "bench_windows")
+    # A row of a window in each form that its hash is the one of.
+    of = lambda form, hashed, c: F.when(F.col("h") == F.col(f"x.{hashed}"), F.struct(F.lit(form).alias("form"), slots(cut(F.col(c)), cut(F.col("raw"))).alias("slots")))
+    forms = F.inline(F.array_compact(F.array(of(0, "strict", "canon"), of(1, "free", "loose"))))
+    bench = with_windows(items, "item_id").where(F.size(F.filter(cut(F.col("canon")), lambda c: (F.length(c) > 0) & ~c.rlike("[\u0001-\u0003]"))) >= LITERALS)
+    # A loose window without a literal is met anywhere.
+    bench = bench.where((F.col("h") == F.col("x.strict")) | F.exists(cut(F.col("loose")), lambda c: (F.length(c) > 0) & ~c.rlike("[\u0001-\u0003]")))
+    bench = bench.select("item_id", F.col("at").alias("item_at"), "h", forms).withColumnRenamed("slots", "item_slots")
+    bench = B.written(bench.dropDuplicates(["item_id", "item_at", "form"]), "bench_windows")
     hashes = bench.select("h").distinct()
     hashes = F.broadcast(hashes) if bench.count() <= BROADCAST_WINDOWS else hashes
     seen = with_windows(B.texts(docs), "doc_id").join(hashes, "h", "left_semi")
-    seen = seen.select("doc_id", "at", "h", slots(cut(F.col("canon")), cut(F.col("raw"))).alias("doc_slots"))
+    seen = seen.select("doc_id", "at", "h", forms).withColumnRenamed("slots", "doc_slots")
     pair = F.filter(F.zip_with("item_slots", "doc_slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc"))), lambda e: e["item"].isNotNull())
-    met = seen.join(bench, "h").select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pair.alias("pairs"))
-    aligned = met.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    met = seen.join(bench, ["h", "form"]).select("doc_id", "item_id", "form", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pair.alias("pairs"))
+    aligned = met.groupBy("doc_id", "item_id", "form", "shift").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = aligned.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda e: e["item"]))))
     covered = consistent.select("doc_id", "item_id", F.explode("at").alias("item_at")).distinct().groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    totals = bench.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"))
+    totals = bench.groupBy("item_id").agg(F.count_distinct("item_at").alias("n_item"))
     return covered.join(totals, "item_id").where(F.col("n_windows") >= COVER * F.col("n_item")).select("doc_id", "item_id", "n_windows", (F.col("n_windows") / F.col("n_item")).alias("coverage"))
 
 

@@ -39,6 +39,20 @@ def test_leaks(spark):
     assert D.leaks(frame.where("false"), bench).count() == 0 and D.uncontaminated(frame, bench.where("false")).count() == frame.count()
 
 
+def test_names_that_open_sentences(spark):
+    """Copies with other names and numbers are found wherever the names stand, copies whose names are mixed up are not."""
+    item = "Anna has 5 apples. Anna gives 3 to Bob. Bob eats 2 of them. How many apples does Anna have?"
+    quoted = "Nora sells 40 red pens every day. 'Nora must rest,' says her boss. Nora sells how many pens in a week of 6 days?"
+    other = item.replace("Anna", "Maria").replace("Bob", "Tom").replace("5", "9").replace("3", "4").replace("2", "7")
+    rnd = random.Random(11)
+    docs = {0: item, 1: other, 2: prose(rnd, 30) + ". " + other + " " + prose(rnd, 30), 3: quoted.replace("Nora", "Iris").replace("40", "35"), 4: other.replace("Maria gives", "Tom gives"), 5: "Maria has 9 pears. Tom runs. Bob eats 2 of the cakes.", 6: "\x04 " + item + " \x05"}
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs.items()], DOCS)
+    bench = spark.createDataFrame([(1, item), (2, quoted)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in D.leaks(frame, bench).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (3, 2), (6, 1)} and all(0.75 <= c <= 1 for c in got.values())
+    assert [r.doc_id for r in D.uncontaminated(frame, bench).orderBy("doc_id").collect()] == [4, 5]
+
+
 def test_quality_votes(spark):
     rnd = random.Random(6)
     texts, labels = {}, {}
