@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, and terms that reveal what the patterns protect.
 
 Base spans are e-mail and IP addresses, card and phone numbers. For the method, each distinct value is a protected entity c
-and each lower-cased run of three or more letters within ``CONTEXT`` characters of it a term t. Over all documents,
+and each lower-cased run of three or more letters of a document that holds it a term t. Over all documents,
     disclosure(t, c) = PMI(t, c) / IC(c) = ln(n(t, c) N / (n(t) n(c))) / ln(N / n(c)),
-1 if t always comes with c, 0 if they are independent. Terms seen beside c in ``SUPPORT`` different texts or more whose
+1 if t always comes with c, 0 if they are independent; each n counts whole documents. Terms in ``SUPPORT`` different texts with c or more whose
 disclosure reaches ``GENERALISE`` become spans of kind ``term`` in the documents that hold c; from ``REMOVE`` on the
 sanitised text drops them, below it keeps only their kind.
 
@@ -25,7 +25,6 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"\p{L}{3,}"
-CONTEXT = 60
 SUPPORT = 3
 GENERALISE = 0.75
 REMOVE = 0.9
@@ -99,36 +98,28 @@ def entity(e: Column) -> Column:
     return F.concat(e["kind"], F.lit(":"), F.when(e["kind"].isin("card", "phone"), digits(e["value"])).otherwise(F.lower(e["value"])))
 
 
-def near_terms(text: Column, e: Column) -> Column:
-    """Terms that lie whole within CONTEXT characters before or after the span."""
-    first = F.greatest(e["start"] - F.lit(CONTEXT), F.lit(0))
-    before = F.substring(text, first + 1, e["start"] - first)
-    before = F.when(first > 0, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.substring(text, e["end"] + 1, F.lit(CONTEXT))
-    after = F.when(F.length(after) == CONTEXT, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" ", before, after)), F.lit(TERM), F.lit(0)))
-
-
 def disclosing_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(protected: doc_id, entities of the documents with base spans; rules: entity, term, disclosure)."""
     plain = B.texts(docs)
-    pair = lambda text: lambda e: B.let(entity(e), lambda c: F.transform(near_terms(text, e), lambda t: F.struct(c.alias("entity"), t.alias("term"))))
+    terms_of = lambda text: F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
     seen = plain.select("doc_id", "text", base_spans(F.col("text")).alias("base")).where(F.size("base") > 0)
-    protected = B.written(
-        seen.select("doc_id", F.xxhash64("text").alias("text_hash"), F.array_distinct(F.transform("base", entity)).alias("entities"), F.array_distinct(F.flatten(F.transform("base", pair(F.col("text"))))).alias("pairs")),
-        "protected",
-    )
-    by_text = protected.select("text_hash", F.inline("pairs")).groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    beside = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= SUPPORT)
-    entities = protected.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    near = protected.select(F.explode(F.array_distinct(F.transform("pairs", lambda p: p["term"]))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    protected = B.written(seen.select("doc_id", F.xxhash64("text").alias("text_hash"), F.array_distinct(F.transform("base", entity)).alias("entities"), terms_of(F.col("text")).alias("terms")), "protected")
+    held = protected.select("text_hash", F.explode("entities").alias("entity")).groupBy("entity", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    # A term isn't in SUPPORT texts with an entity that itself is in fewer.
+    entities = B.written(held.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= SUPPORT).drop("n_texts"), "entities")
+    judged = held.join(entities.select("entity"), "entity").groupBy("text_hash").agg(F.collect_set("entity").alias("judged"))
+    once = protected.join(judged, "text_hash", "left_semi").groupBy("text_hash").agg(F.count(F.lit(1)).alias("n"), F.first("terms").alias("terms"))
+    by_text = B.written(once.join(judged, "text_hash"), "judged_texts")
+    pairs = by_text.select("n", "terms", F.explode("judged").alias("entity")).select("n", "entity", F.explode("terms").alias("term"))
+    beside = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= SUPPORT)
+    near = by_text.select("n", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("n").alias("n_near"))
     total = float(plain.count())
     disclosure = lambda n: F.log(F.col("n_both") * total / (F.col(n).cast("double") * F.col("n_entity"))) / F.log(total / F.col("n_entity"))
     # A term occurs in n_near documents at least, so this bound loses nothing and leaves frequent words out early.
     likely = beside.join(entities, "entity").where(F.col("n_entity") < total).join(near, "term").where(disclosure("n_near") >= GENERALISE)
     candidates = B.written(likely.drop("n_near"), "candidates")
     terms = candidates.select("term").distinct()
-    occurring = plain.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    occurring = plain.select(F.explode(terms_of(F.col("text"))).alias("term"))
     if candidates.count() <= BROADCAST_TERMS:
         in_texts = occurring.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     else:

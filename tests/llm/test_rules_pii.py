@@ -84,3 +84,13 @@ def test_pii_terms(spark):
     assert "@" not in clean[0].text and "zanzibar" not in clean[0].text and clean[7].text == texts[7]
     assert clean[0].n_chars == len(clean[0].text)
     assert P.sanitised(docs).columns == docs.columns
+
+
+def test_pii_terms_far_away(spark):
+    """A name in the heading of long documents is revealing, wherever the protected value stands."""
+    pad = " " + "pad " * 60
+    texts = [f"Zanzibar {i}{pad}write to boss@corp.com{pad}" for i in range(4)] + ["boss@corp.com zanzibar"] + [f"only{pad}write to {i}" for i in range(60)]
+    docs = spark.createDataFrame(rows(texts), DOCS)
+    got = {r.doc_id: r.spans for r in P.detect(docs).collect()}
+    assert all("term:0:8" in got[i] for i in range(4)) and "term:14:22" in got[4] and got[9] == ""
+    assert not any("zanzibar" in r.text.lower() for r in P.sanitised(docs).collect())
