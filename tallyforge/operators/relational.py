@@ -67,14 +67,15 @@ def islands(df: DataFrame, keys: list[str], order: list[str], value: str, gap: f
     return df.withColumn("_jump", jump).withColumn(name, F.sum("_jump").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_jump")
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str, within: float, tie: list[Column]) -> DataFrame:
-    """Each row of left with the row of right nearest in value, at most ``within`` away.
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str, within: float, tie: list[Column], apart: Column | None = None) -> DataFrame:
+    """Each row of left with the row of right nearest in value, at most ``within`` away; only pairs for which ``apart`` holds.
 
     Values are cut into cells of width ``within``; a row meets its own and the two cells beside it, so no key emits all pairs.
     """
     cell = lambda c: F.floor(F.col(c) / within)
     near = left.withColumn("_id", F.monotonically_increasing_id()).withColumn("_cell", F.explode(F.array(cell(a) - 1, cell(a), cell(a) + 1)))
     met = near.join(right.withColumn("_cell", cell(b)), [*keys, "_cell"]).where(F.abs(F.col(a) - F.col(b)) <= within)
+    met = met if apart is None else met.where(apart)
     return met.withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(F.abs(F.col(a) - F.col(b)), *tie))).where("_rn = 1").drop("_rn", "_id", "_cell")
 
 

@@ -198,6 +198,17 @@ def nearest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.nearest(left, right, ["user_id"], "value", "near_value", 8.0, [F.col("near_id").asc()]).select("event_id", "near_id")
 
 
+@query(
+    """SELECT event_id, near_id FROM (SELECT a.event_id, b.event_id AS near_id, row_number() OVER (PARTITION BY a.event_id ORDER BY abs(a.value - b.value), b.event_id) AS rn FROM events a JOIN events b ON a.user_id = b.user_id AND abs(a.value - b.value) <= 8
+ WHERE a.event_id <> b.event_id) WHERE rn = 1"""
+)
+def nearest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the nearest other one, over all events."""
+    ev = V.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    right = ev.select(F.col("event_id").alias("near_id"), "user_id", F.col("value").alias("near_value"))
+    return rel.nearest(ev, right, ["user_id"], "value", "near_value", 8.0, [F.col("near_id").asc()], F.col("event_id") != F.col("near_id")).select("event_id", "near_id")
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))

@@ -126,3 +126,16 @@ def test_collector_stream(spark, tmp_path):
     assert spark.read.parquet(f"{out}/0").count() == 3
     wanted = spark.createDataFrame([("a",), ("z",)], "key string")
     assert [r.key for r in collectors.open_keys(wanted, spark.read.parquet(f"{out}/0")).collect()] == ["z"]
+
+
+def test_nearest_over_all_events(spark):
+    from tallyforge import registry
+
+    events = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "value").collect()]
+    want = {}
+    for i, u, v in events:
+        near = [(abs(v - y), j) for j, w, y in events if w == u and j != i and abs(v - y) <= 8]
+        if near:
+            want[i] = min(near)[1]
+    rows = registry.queries()["nearest_events"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(want) and {r.event_id: r.near_id for r in rows} == want
