@@ -1,6 +1,7 @@
-"""Removal of repeated 100-byte strings by blockwise suffix sorting with a cover sample.
+"""Removal of repeated 100-byte strings by content-defined anchors and equality of hashes.
 
-The suffixes (100-byte windows) are dealt into buckets, and only equal-prefix classes are ever compared. A difference cover by
+No suffix is sorted, no bucket is built one at a time, and a rank below is a hash that is only tested for equality, not an order.
+The 100-byte windows are dealt into buckets, and only equal-prefix classes are ever compared. A difference cover by
 position would need every suffix shipped; the cover here is chosen by content, so that any two equal windows hold a sampled
 position (anchor) at the same offset: the leftmost 24-gram of smallest hash in the window. One position in 39 is an anchor.
 Consecutive windows with one anchor are a run; the anchor's 24-gram names the bucket, and the hash of the run's whole content
