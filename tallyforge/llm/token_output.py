@@ -8,13 +8,16 @@ File: ``TFPF1\\n``, blocks, block starts (u64), documents (i64 id, u8 whether th
 blocks, u64 documents, u64 offset of the block starts, ``TFPF1\\n``). Block: u16 ids, u32 minimum, u8 width, u16 exceptions,
 packed bits, positions (u8), values (u32).
 
-Null texts are empty and have the end id alone; null doc_ids come first; repeated rows are written one after the other.
+Null texts are empty and have the end id alone; null doc_ids come first; rows of equal doc_id are written one after the other
+in the order of their texts, and rows equal in both are alike. A text of any length is encoded whole. Tokenizers that aren't
+proven to encode each word by itself get whole texts.
 """
 
 from __future__ import annotations
 
 import array
 import functools
+import json
 import struct
 import uuid
 import zlib
@@ -32,11 +35,13 @@ MAGIC = b"TFPF1\n"
 BLOCK = 256
 SHARE = 0.9
 END_ID = 1
-#: Ids that are packed at once; words and stems that a worker remembers.
+#: Ids that are packed at once; words and pre-tokens that a worker remembers.
 CHUNK = BLOCK * 2048
 CACHE = 500_000
-#: Marks that are cut off the end of a word.
-PUNCTUATION = ".,;:!?"
+#: Printable ASCII, Latin-1 and Latin Extended A and B.
+LATIN = r"[\x21-\x7e\xa1-\u024f]+"
+#: Fixed value: the pre-token pattern of tokenizers that encode each word by itself.
+PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SHARDS = "shard string, part int, n_ids long, n_docs long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _HEAD = struct.Struct("<HIBH")
@@ -167,61 +172,97 @@ class ShardReader:
             at += len(ids)
 
 
+def cuts_at_spaces(path: str) -> bool:
+    """Whether the tokenizer's own JSON proves that it encodes each word by itself.
+
+    It does if normalisation is NFC, white space to one space and lower case letter by letter, pre-tokens are matches of
+    PRETOKENS, none of which holds white space, the model has no dropout, and added tokens are taken as they stand and hold no
+    white space: no step then looks across a space or a line feed.
+    """
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    steps = (made.get("normalizer") or {}).get("normalizers") or []
+    cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    model, added = made["model"], made.get("added_tokens") or []
+    return (
+        [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"]
+        and (steps[1]["pattern"], steps[1]["content"]) == ({"Regex": r"\s+"}, " ")
+        and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+        and (cuts[0]["pattern"], cuts[0]["behavior"], cuts[0]["invert"]) == ({"Regex": PRETOKENS}, "Removed", True)
+        and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+        and model["type"] == "BPE"
+        and not model.get("dropout")
+        and not any(x["lstrip"] or x["rstrip"] or x["normalized"] or x["single_word"] or x["content"].split() != [x["content"]] for x in added)
+    )
+
+
+class TextEncoder:
+    """Encodes whole texts with the tokenizers library."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array([*self.whole.encode(t, add_special_tokens=False).ids, END_ID], "<u4") for t in texts]
+
+
 class WordEncoder(dict):
-    """Encodes text word by word with the tokenizers library; the tokenizer drops white space and never joins words across it.
+    """Encodes text word by word with the tokenizers library, for tokenizers that ``cuts_at_spaces`` proves to do so.
 
-    A dictionary from word to ids that fills itself. Marks behind a letter or digit are a token of their own, and case means
-    nothing to the tokenizer, so a new word is mostly a known stem with known marks.
+    A dictionary from word to ids that fills itself. A word goes whole through the library's normalizer and pre-tokenizer; those
+    of LATIN characters alone, which NFC leaves as they are and whose classes are the same in every version of Unicode, are
+    lower-cased and cut by the same pattern here. Pre-tokens always get their ids from the library's model.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
         whole = Tokenizer.from_file(path)
         self.whole, self.normal, self.cut, self.merge = whole.encode, whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str, whole.model.tokenize
-        self.special = [t.content for t in whole.get_added_tokens_decoder().values()]
-        self.stems: dict[str, bytes] = {}
+        # Without added tokens the pattern is empty words', which have no ids.
+        self.special = regex.compile("|".join(regex.escape(t.content) for t in whole.get_added_tokens_decoder().values()) or r"\A\Z").search
+        self.latin, self.pretokens = regex.compile(LATIN).fullmatch, regex.compile(PRETOKENS).findall
+        self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > CACHE:
             self.clear()
-        stem = word.rstrip(PUNCTUATION)
-        if not stem or not stem[-1].isalnum():
-            stem = word
-        made = self._stem(stem.lower() if stem.isascii() and stem.isalpha() else stem)
-        if len(stem) < len(word):
-            made += self._stem(word[len(stem) :])
+        if self.special(word):
+            made = array.array("I", self.whole(word, add_special_tokens=False).ids).tobytes()
+        elif self.latin(word):
+            known = self.pieces
+            made = b"".join([known.get(piece) or self._piece(piece) for piece in self.pretokens(word.lower())])
+        else:
+            made = self._ids(self.normal(word))
         self[word] = made
         return made
 
-    def _stem(self, stem: str) -> bytes:
-        made = self.stems.get(stem)
-        if made is None:
-            if any(t in stem for t in self.special):
-                ids = self.whole(stem, add_special_tokens=False).ids
-            elif stem.isascii() and stem.isalpha():
-                # Lower-case letters are one pre-token, which normalisation and byte letters leave as it is.
-                ids = [t.id for t in self.merge(stem)]
-            else:
-                ids = [t.id for piece, _ in self.cut(self.normal(stem)) for t in self.merge(piece)]
-            made = array.array("I", ids).tobytes()
-            if len(self.stems) > CACHE:
-                self.stems.clear()
-            self.stems[stem] = made
+    def _piece(self, piece: str) -> bytes:
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        made = self.pieces[piece] = self._ids(piece)
         return made
 
+    def _ids(self, normal: str) -> bytes:
+        return array.array("I", [t.id for piece, _ in self.cut(normal) for t in self.merge(piece)]).tobytes()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         end, get = struct.pack("<I", END_ID), self.__getitem__
         return [np.frombuffer(b"".join(map(get, t.replace("\n", " ").split(" "))) + end, "<u4") for t in texts]
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> WordEncoder | TextEncoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordEncoder(path)
+    return WordEncoder(path) if cuts_at_spaces(path) else TextEncoder(path)
 
 
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -56,6 +56,28 @@ def test_token_files(spark):
     assert sorted((r.doc_id is None, r.start, r.n_tokens) for r in token_output.read_back(token_output.encoded(nulls, path)).collect()) == [(False, 2, 2), (False, 4, 2), (True, 0, 2)]
 
 
+def test_words_equal_the_library(tmp_path):
+    """Random words of letters whose lower case is several characters, combining marks, odd spaces and every Latin letter."""
+    from tokenizers import Tokenizer
+
+    path, rnd = P.path("word_bpe_49k.json"), random.Random(9)
+    own, library = token_output.encoder(path), Tokenizer.from_file(path)
+    odd = "abcXYZ 0189 \n\t.,'!?;:-éßñİſﬁΣςσÅȩ\u0301\u0307\u0345日🙂\u200b\u00a0\u0085\u2003\x1c𝒳ǅŉΐ<|>"
+    latin = [chr(c) for c in [*range(33, 127), *range(160, 608)]]
+    known = ["BELEDİYESİ,", "MİLLİ.", "the", "tion", "Zwölf", "it's", "x.", "'S", "Σας.", "ÉTÉ!", "İ?", "<|endoftext|>", "a<|endoftext|>.", "I\u0307."]
+    make = (lambda: "".join(rnd.choices(odd, k=rnd.randint(1, 40))), lambda: "".join(rnd.choices(latin, k=30)), lambda: " ".join(rnd.choices(known, k=8)))
+    texts = [make[i % 3]() for i in range(30000)]
+    assert isinstance(own, token_output.WordEncoder)
+    for t in texts:
+        assert own.encode([t])[0].tolist() == [*library.encode(t, add_special_tokens=False).ids, 1], repr(t)
+    # Another tokenizer isn't known to encode words by themselves: it gets whole texts.
+    changed = tmp_path / "other.json"
+    changed.write_text(open(path, encoding="utf-8").read().replace('"type":"Lowercase"', '"type":"NFKD"').replace('"type": "Lowercase"', '"type": "NFKD"'))
+    other = token_output.encoder(str(changed))
+    assert isinstance(other, token_output.TextEncoder)
+    assert all(e.tolist() == [*Tokenizer.from_file(str(changed)).encode(t, add_special_tokens=False).ids, 1] for t, e in zip(texts[:200], other.encode(texts[:200]), strict=True))
+
+
 def test_blocks_round_trip():
     import numpy as np
 
