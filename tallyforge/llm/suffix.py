@@ -1,20 +1,26 @@
-"""Removal of repeated 100-byte strings by content-defined anchors and equality of hashes.
-
-No suffix is sorted, no bucket is built one at a time, and a rank below is a hash that is only tested for equality, not an order.
-The 100-byte windows are dealt into buckets, and only equal-prefix classes are ever compared. A difference cover by
-position would need every suffix shipped; the cover here is chosen by content, so that any two equal windows hold a sampled
-position (anchor) at the same offset: the leftmost 24-gram of smallest hash in the window. One position in 39 is an anchor.
-Consecutive windows with one anchor are a run; the anchor's 24-gram names the bucket, and the hash of the run's whole content
-is its rank, precomputed, so that long ties are resolved by comparing ranks instead of bytes:
-1. per bucket, the number of runs, whether their ranks differ, and the first document, aggregated before the shuffle;
-2. in buckets of one rank, each later run repeats the first; in buckets of several, each later run of a rank repeats its first;
-3. a window that two runs share holds the 24-gram and 38 bytes more on its left or its right: of the first runs of the ranks
-   in mixed buckets, those go on that share such a side with another;
-4. only they are compared window by window, by 128-bit hashes, at the offsets that the shared side allows.
-Memory is bounded by a chunk of text for each task and by the marks of one document; no bucket is held in one task.
-
-Hashes stand for the strings (run: 24-gram and content, 64 bits each; window: 128 bits). Null texts are empty; a null doc_id
-comes first; rows that repeat a doc_id don't remove each other's bytes.
+"""Removal of repeated 100-byte strings: buckets of suffixes, sorted one block at a time, with ranks for long ties.
+
+Two equal 100-byte windows need a sampled position at the same offset. A difference cover by position gives one, but each of
+its samples is a record, and a window is met through each of its samples; here the cover is chosen by content: the sample
+(anchor) of a window is the leftmost 40-gram of smallest hash in it, one position in 31, and every window has exactly one.
+Consecutive windows with one anchor are a run. The anchor's 40-gram names the bucket, and the hash of the run's whole content is
+its rank: ties are resolved by comparing ranks instead of up to 160 bytes. A rank is compared for equality only, so it is no
+lexicographic order; nothing here needs one.
+
+1. A task scans its texts in blocks of ``BLOCK`` bytes, sorts a block's runs by bucket and rank, and keeps the first run of each
+   rank: the others are repeats for certain. Blocks of records, not rows, are shuffled.
+2. The records of one block of buckets are sorted together. A run whose rank came before is a repeat. Buckets of one rank
+   are done; in buckets of several ranks the first runs of the ranks may share windows, and go on.
+3. Their windows are hashed (96 bits), the windows of a block are sorted as the runs were, and those that came before are marked.
+4. Marks meet the texts of their documents again, and the bytes that they cover are cut out.
+
+A bucket that has several ranks within one block is known to go on. Its records are dealt by bucket and rank, and only a
+notice of it goes to the bucket's own task, so no task gets a hot bucket whole; of a hot run or window each block sends one record.
+Blocks of records are dealt by hashes over as many tasks as the bytes of the texts need, so memory is bounded.
+
+Hashes stand for the strings (bucket and rank 64 bits each, window 96 bits). Null texts are empty; texts of any length are
+scanned whole; a null doc_id comes first; rows that repeat a doc_id don't remove each other's bytes, whether their texts are
+equal or not; other columns are left alone; without documents there are no rows.
 """
 
 from __future__ import annotations
@@ -31,16 +37,20 @@ from tallyforge.llm import _base as B
 from tallyforge.llm.minhash import mixed
 
 LENGTH = 100
-GRAM = 24
-#: Bytes beside the 24-gram that any window has on one side at least.
-HALF = (LENGTH - GRAM) // 2
+GRAM = 40
 #: Bytes that are scanned at once; positions in them fit the low 20 bits of a packed value.
 CHUNK = (1 << 20) - 256
-RUNS = "doc_id long, bucket long, rank long, start int, n int, at int, again boolean"
-SIDES = "doc_id long, start int, n int, at int, side int, content long"
-WINDOWS = "doc_id long, wa long, wb long, start int, again boolean"
+#: Bytes of text whose runs are sorted together before they are shuffled.
+BLOCK = 1 << 24
+#: Bytes of text for each task that sorts records or meets texts.
+TASK = 1 << 25
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _POSITION = np.uint64((1 << 20) - 1)
+#: Kinds of packed rows, and the columns of each: a row of a text is its document and the hash of its document and text.
+RUNS, KNOWN, MIXED, MARKS, WINDOWS, TEXT = range(6)
+_PLACE = ["<i8", "<i4", "<u4", "u1"]
+COLUMNS = {RUNS: ["<u8", "<u8", *_PLACE], KNOWN: ["<u8", "<u8", *_PLACE], MIXED: ["<u8"], MARKS: ["<i8", "<i4", "<u4", "<u4"], WINDOWS: ["<u8", "<u4", *_PLACE[:3]]}
+PACKED = "part int, kind int, data binary"
 
 
 @functools.lru_cache(maxsize=1)
@@ -70,51 +80,45 @@ def _hash(sums: np.ndarray, which: int, begin: np.ndarray, end: np.ndarray) -> n
     return mixed((sums[end] - sums[begin]) * _tables()[3][which][begin])
 
 
-def scan(data: np.ndarray, valid: np.ndarray, limits: np.ndarray):
-    """Runs of a chunk: start of the first window, number of windows, place of the anchor after the start, bucket and rank.
-
-    limits: a run ends where these change."""
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM bytes from each position on: of 32 by doubling, with the 8 behind them."""
     byte, odd, _, _ = _tables()
+    h, size = byte[0][data], 1
+    for k in range(5):
+        h = h[:-size] * odd[k] + h[size:]
+        size *= 2
+        if size == GRAM - 32:
+            tail = h
+    return mixed(h[: len(tail) - 32] * odd[5] + tail[32:])
+
+
+def scan(data: np.ndarray, valid: np.ndarray, limits: np.ndarray):
+    """Runs of a chunk: start of the first window, number of windows, bucket and rank; a run ends where limits change."""
     with np.errstate(over="ignore"):
-        h = byte[0][data]
-        size = 1
-        for k in range(4):
-            h = h[:-size] * odd[k] + h[size:]
-            size *= 2
-            if size == 8:
-                eight = h
-        gram = mixed(h[:-8] * odd[4] + eight[16:] if len(h) > 8 else h[:0])
-        packed = gram & ~_POSITION | np.arange(len(gram), dtype=np.uint64)
-        width, low = LENGTH - GRAM + 1, packed
-        reach = 1
+        gram = _grams(data)
+        low = gram & ~_POSITION | np.arange(len(gram), dtype=np.uint64)
+        width, reach = LENGTH - GRAM + 1, 1
         while 2 * reach <= width:
             low = np.minimum(low[:-reach], low[reach:])
             reach *= 2
         rest = width - reach
         low = np.minimum(low[:-rest], low[rest:]) if rest else low
-        anchor = (low & _POSITION).astype(np.int64)
-        anchor = anchor[: len(valid)]
-        at = np.flatnonzero(valid[: len(anchor)])
-        if not len(at):
-            return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
-        own = anchor[at]
+        at = np.flatnonzero(valid[: len(low)])
+        own = (low[at] & _POSITION).astype(np.int64)
         new = np.ones(len(at), bool)
         new[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1) | (limits[at[1:]] != limits[at[:-1]])
         first = np.flatnonzero(new)
         count = np.diff(np.append(first, len(at)))
         start = at[first]
-        sums = _sums(data, 0)
-        return start, count, own[first] - start, gram[own[first]], _hash(sums, 0, start, start + count - 1 + LENGTH)
+        return start, count, gram[own[first]], _hash(_sums(data, 0), 0, start, start + count - 1 + LENGTH)
 
 
 def chunks(texts: list[bytes]):
-    """(data, offset in data, document, offset in the document, bytes) pieces: several short documents or a part of a long one.
+    """Lists of (document, offset in it, bytes): several short documents or a part of a long one.
 
     Parts of a long document overlap by LENGTH - 1 bytes, so every window is in one of them."""
     pieces, held = [], 0
     for i, t in enumerate(texts):
-        if len(t) < LENGTH:
-            continue
         step = CHUNK - LENGTH + 1
         for begin in range(0, len(t) - LENGTH + 1, step):
             part = t[begin : begin + CHUNK]
@@ -128,32 +132,84 @@ def chunks(texts: list[bytes]):
 
 
 def runs(texts: list[bytes]):
-    """Arrays document, start, n, anchor, bucket, rank of all runs of the texts, in order."""
+    """Arrays document, start, n, bucket, rank of all runs of the texts."""
+    found = []
     for pieces in chunks(texts):
         data = np.frombuffer(b"".join(p for _, _, p in pieces), np.uint8)
         sizes = np.array([len(p) for _, _, p in pieces])
         begin = np.cumsum(sizes) - sizes
         piece = np.repeat(np.arange(len(pieces)), sizes)
         valid = np.arange(len(data)) + LENGTH <= (begin + sizes)[piece]
-        start, count, at, bucket, rank = scan(data, valid, piece)
+        start, count, bucket, rank = scan(data, valid, piece)
         of = piece[start]
-        yield np.array([i for i, _, _ in pieces])[of], start - begin[of] + np.array([b for _, b, _ in pieces])[of], count, at, bucket, rank
-
-
-def _earlier(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether the same (a, b) came before in the same document; the rows of a document are in order."""
-    order = np.lexsort((np.arange(len(doc)), b, a, doc))
-    again = np.zeros(len(doc), bool)
-    d, x, y = doc[order], a[order], b[order]
-    again[order[1:]] = (d[1:] == d[:-1]) & (x[1:] == x[:-1]) & (y[1:] == y[:-1])
-    return again
-
-
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.astype(np.uint64).view(np.int64))
-
-
-def _groups(batch, size: int = 1 << 22):
+        found.append((np.array([i for i, _, _ in pieces])[of], start - begin[of] + np.array([b for _, b, _ in pieces])[of], count, bucket, rank))
+    return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
+
+
+def settle(a, b, doc, row, start):
+    """(order by a, b and place; whether a row is the first of its (a, b); whether its (a, b) came before, in a smaller document or earlier in its own row)."""
+    order = np.lexsort((start, row, doc, b, a))
+    n = len(order)
+    if not n:
+        return order, np.zeros(0, bool), np.zeros(0, bool)
+    a, b, doc, row, start = (x[order] for x in (a, b, doc, row, start))
+    new, own = np.ones(n, bool), np.ones(n, bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    own[1:] = new[1:] | (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])
+    since = lambda marks: np.maximum.accumulate(np.where(marks, np.arange(n), 0))
+    return order, new, (doc > doc[since(new)]) | (start > start[since(own)])
+
+
+def several(a: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Whether the a of each row, rows sorted by it, has two firsts or more."""
+    if not len(a):
+        return np.zeros(0, bool)
+    of = np.cumsum(np.append(True, a[1:] != a[:-1])) - 1
+    return np.bincount(of, weights=new)[of] > 1
+
+
+def packed(kind: int, part: np.ndarray, *columns: np.ndarray):
+    """(part, kind, data) of the rows of each part, ordered by place, column after column."""
+    keys = columns[-3:-1] if kind == WINDOWS else columns[2:5:2] if kind in (RUNS, KNOWN) else columns[:1]
+    order = np.lexsort((*keys[::-1], part))
+    edges = np.append(np.flatnonzero(np.append(True, np.diff(part[order]) != 0)), len(order)) if len(order) else [0]
+    columns = [np.asarray(c)[order].astype(t) for c, t in zip(columns, COLUMNS[kind], strict=True)]
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        yield int(part[order[lo]]), kind, b"".join([c[lo:hi].tobytes() for c in columns])
+
+
+def unpacked(kind: int, blobs: list[bytes]) -> list[np.ndarray]:
+    types = [np.dtype(t) for t in COLUMNS[kind]]
+    width = sum(t.itemsize for t in types)
+    out: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in types]
+    for blob in blobs:
+        n, at = len(blob) // width, 0
+        for t, held in zip(types, out, strict=True):
+            held.append(np.frombuffer(blob, t, n, at))
+            at += n * t.itemsize
+    return [np.concatenate(x) for x in out]
+
+
+def marks_of(parts: int, doc, row, start, n):
+    """Packed marks, those that continue one another joined."""
+    if not len(doc):
+        return
+    order = np.lexsort((start, row, doc))
+    doc, row, start = doc[order], row[order], start[order].astype(np.int64)
+    end = start + n[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (start[1:] != end[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    yield from packed(MARKS, row[first].astype(np.int64) % parts, doc[first], row[first], start[first], end[last] - start[first])
+
+
+def _rows(made):
+    part, kind, data = list(zip(*made, strict=True)) or [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], ["part", "kind", "data"])
+
+
+def _blocks(batch, size: int):
     """Slices of a batch of some MB of text, with their texts as bytes."""
     texts, begin, held = [], 0, 0
     for i, t in enumerate(batch.column("text")):
@@ -166,124 +222,181 @@ def _groups(batch, size: int = 1 << 22):
         yield batch.slice(begin), texts
 
 
-def all_runs(plain: DataFrame) -> DataFrame:
+def _scanned(plain: DataFrame, parts: int, block: int) -> DataFrame:
+    """Packed runs of each block: the first of each rank, the others as marks."""
+
     def find(batches):
         for batch in batches:
-            for part, texts in _groups(batch):
-                found = list(runs(texts))
-                if not found:
-                    continue
-                doc, start, n, at, bucket, rank = (np.concatenate(x) for x in zip(*found, strict=True))
-                again = _earlier(doc, bucket, rank)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), _signed(bucket), _signed(rank), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(again)], ["doc_id", "bucket", "rank", "start", "n", "at", "again"])
-
-    return plain.mapInArrow(find, RUNS)
-
-
-def side_rows(listed: DataFrame) -> DataFrame:
-    """Hashes of the sides of the runs listed for each document (doc_id, text, runs): 0 left, 1 right, where the run has windows that reach so far."""
+            for piece, texts in _blocks(batch, block):
+                at, start, n, bucket, rank = runs(texts)
+                doc, row = (np.asarray(piece.column(c))[at] for c in ("doc_id", "row"))
+                order, new, sure = settle(bucket, rank, doc, row, start)
+                crowd = several(bucket[order], new)
+                take = lambda mask, *c: [x[order[mask]] for x in c]
+                made = list(marks_of(parts, *take(sure, doc, row, start, n)))
+                b, r, *place = take(~sure & ~crowd, bucket, rank, doc, row, start, n)
+                made += packed(RUNS, (b >> np.uint64(20)) % np.uint64(parts), b, r, *place)
+                b, r, *place = take(~sure & crowd, bucket, rank, doc, row, start, n)
+                made += packed(KNOWN, (r >> np.uint64(20)) % np.uint64(parts), b, r, *place)
+                b = np.unique(b)
+                made += packed(MIXED, (b >> np.uint64(20)) % np.uint64(parts), b)
+                yield _rows(made)
+
+    return plain.select("doc_id", "row", "text").mapInArrow(find, PACKED)
+
+
+def _ranked(rows: DataFrame, parts: int) -> DataFrame:
+    """Packed marks of the runs whose rank came before, and RUNS whose windows have to be compared, of blocks of buckets."""
+
+    def sort(batches):
+        held: dict[int, list[bytes]] = {k: [] for k in COLUMNS}
+        for batch in batches:
+            own = batch.column("kind").to_pylist()
+            through = [k == MARKS for k in own]
+            if any(through):
+                yield batch.filter(pa.array(through))
+            for kind, data in zip(own, batch.column("data"), strict=True):
+                if kind != MARKS:
+                    held[kind].append(data.as_py())
+        told = np.unique(unpacked(MIXED, held[MIXED])[0])
+        for kind in (RUNS, KNOWN):
+            bucket, rank, doc, row, start, n = unpacked(kind, held.pop(kind))
+            order, new, sure = settle(bucket, rank, doc, row, start)
+            go = ~sure
+            if kind == RUNS:
+                go &= several(bucket[order], new) | np.isin(bucket[order], told)
+            take = lambda mask, *c: [x[order[mask]] for x in c]
+            yield _rows(marks_of(parts, *take(sure, doc, row, start, n)))
+            b, r, *place = take(go, bucket, rank, doc, row, start, n)
+            yield _rows(packed(RUNS, place[1].astype(np.int64) % parts, b, r, *place))
+
+    return rows.repartitionById(parts, "part").mapInArrow(sort, PACKED)
+
+
+def _with_texts(rows: DataFrame, plain: DataFrame, parts: int) -> DataFrame:
+    """Packed rows and texts of the same part together, the packed rows first."""
+    texts = plain.select(F.pmod("row", F.lit(parts)).alias("part"), F.lit(TEXT).alias("kind"), F.lit(None).cast("binary").alias("data"), "doc_id", "row", "text")
+    none = lambda c: F.lit(None).cast(plain.schema[c].dataType).alias(c)
+    every = rows.select("part", "kind", "data", *[none(c) for c in ("doc_id", "row", "text")]).unionAll(texts)
+    return every.repartitionById(parts, "part").sortWithinPartitions("part", "kind")
+
+
+def _met(batches, kind: int, size: int):
+    """(texts' slice, their bytes, first and last place of each in the columns, columns) for each block of texts of a part."""
+    part, blobs, columns, place = None, [], None, {}
+    for batch in batches:
+        own = np.stack([np.asarray(batch.column(c)) for c in ("part", "kind")], axis=1)
+        edges = np.append(np.flatnonzero(np.append(True, (np.diff(own, axis=0) != 0).any(axis=1))), len(own)) if len(own) else [0]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            if own[lo, 0] != part:
+                part, blobs, columns = own[lo, 0], [], None
+            if own[lo, 1] != TEXT:
+                blobs += [x.as_py() for x in batch.column("data").slice(lo, hi - lo)]
+                continue
+            if columns is None:
+                columns = unpacked(kind, blobs)
+                doc, row, start = columns[-4:-1]
+                order = np.lexsort((start, row, doc))
+                columns, blobs = [c[order] for c in columns], []
+                doc, row = columns[-4], columns[-3]
+                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))) if len(doc) else np.zeros(0, np.int64)
+                place = dict(zip(zip(doc[first].tolist(), row[first].tolist(), strict=True), zip(first.tolist(), np.append(first, len(doc))[1:].tolist(), strict=True), strict=True))
+            for piece, texts in _blocks(batch.slice(lo, hi - lo), size):
+                keys = zip(piece.column("doc_id").to_pylist(), piece.column("row").to_pylist(), strict=True)
+                yield piece, texts, [place.get(k, (0, 0)) for k in keys], columns
+
+
+def windows(texts: list[bytes], of: np.ndarray, start: np.ndarray, n: np.ndarray):
+    """(run, start, two hashes) of all windows of the runs: ``of`` is the text of each."""
+    sizes = n + (LENGTH - 1)
+    ends, out, begin = np.cumsum(sizes), [], 0
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    offset = np.cumsum([0, *map(len, texts)])[of] + start
+    while begin < len(of):
+        stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + CHUNK, "right")))
+        size, count = sizes[begin:stop], n[begin:stop]
+        at = np.cumsum(size) - size
+        data = flat[np.repeat(offset[begin:stop] - at, size) + np.arange(size.sum())]
+        k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        first = np.repeat(at, count) + k
+        with np.errstate(over="ignore"):
+            hashes = [_hash(_sums(data, w), w, first, first + LENGTH) for w in (0, 1)]
+        out.append((np.repeat(np.arange(begin, stop), count), np.repeat(start[begin:stop], count) + k, *hashes))
+        begin = stop
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
+def _windows(rows: DataFrame, plain: DataFrame, parts: int, block: int) -> DataFrame:
+    """Packed marks of the windows of the runs in rows that came before."""
 
     def find(batches):
+        for _, texts, places, (_, _, doc, row, start, n) in _met(batches, RUNS, block):
+            counts = np.array([hi - lo for lo, hi in places])
+            if not counts.any():
+                continue
+            which = np.concatenate([np.arange(lo, hi) for lo, hi in places])
+            run, at, a, b = windows(texts, np.repeat(np.arange(len(texts)), counts), start[which].astype(np.int64), n[which].astype(np.int64))
+            doc_of, row_of, b = doc[which][run], row[which][run], b >> np.uint64(32)
+            order, _, sure = settle(a, b, doc_of, row_of, at)
+            take = lambda mask, *c: [x[order[mask]] for x in c]
+            d, r, s = take(sure, doc_of, row_of, at)
+            made = list(marks_of(parts, d, r, s, np.ones(len(d), np.int64)))
+            columns = take(~sure, a, b, doc_of, row_of, at)
+            yield _rows(made + list(packed(WINDOWS, (columns[0] >> np.uint64(20)) % np.uint64(parts), *columns)))
+
+    def sort(batches):
+        held = []
         for batch in batches:
-            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                data = text.encode()
-                start, n, at = (np.array([r[k] for r in own], np.int64) for k in ("start", "n", "at"))
-                p = start + at
-                rows = []
-                for side, there, begin in ((0, at >= HALF, p - HALF), (1, start + n - 1 + LENGTH >= p + GRAM + HALF, p)):
-                    for i in np.flatnonzero(there):
-                        piece = data[begin[i] : begin[i] + GRAM + HALF]
-                        rows.append((start[i], n[i], at[i], side, int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True)))
-                if rows:
-                    columns = list(zip(*rows, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(rows), pa.int64()), *[pa.array(np.array(c, np.int32)) for c in columns[:4]], pa.array(columns[4], pa.int64())], ["doc_id", "start", "n", "at", "side", "content"])
-
-    return listed.mapInArrow(find, SIDES)
+            marks = [k == MARKS for k in batch.column("kind").to_pylist()]
+            if any(marks):
+                yield batch.filter(pa.array(marks))
+            held += [x.as_py() for x, m in zip(batch.column("data"), marks, strict=True) if not m]
+        a, b, doc, row, at = unpacked(WINDOWS, held)
+        order, _, sure = settle(a, b, doc, row, at)
+        d, r, s = (x[order[sure]] for x in (doc, row, at))
+        yield _rows(marks_of(parts, d, r, s, np.ones(len(d), np.int64)))
 
+    return _with_texts(rows, plain, parts).mapInArrow(find, PACKED).repartitionById(parts, "part").mapInArrow(sort, PACKED)
 
-def window_rows(listed: DataFrame) -> DataFrame:
-    """The windows of the runs listed for each document (doc_id, text, runs), as far as their shared sides (bit 0 left, bit 1 right) allow."""
 
-    def find(batches):
-        for batch in batches:
-            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                data = np.frombuffer(text.encode(), np.uint8)
-                places, pairs = [], []
-                with np.errstate(over="ignore"):
-                    for r in sorted(own, key=lambda r: r["start"]):
-                        p = np.arange(r["start"], r["start"] + r["n"])
-                        left = r["start"] + r["at"] - p >= HALF
-                        p = p[(left & (r["sides"] & 1 > 0)) | (r["start"] + r["at"] - p <= HALF) & (r["sides"] & 2 > 0)]
-                        if len(p):
-                            piece = data[p[0] : p[-1] + LENGTH]
-                            places.append(p)
-                            pairs.append([_hash(_sums(piece, k), k, p - p[0], p - p[0] + LENGTH) for k in (0, 1)])
-                if not places:
-                    continue
-                at = np.concatenate(places)
-                a, b = (np.concatenate([x[k] for x in pairs]) for k in (0, 1))
-                again = _earlier(np.zeros(len(at), np.int8), a, b)
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(at), pa.int64()), _signed(a), _signed(b), pa.array(at.astype(np.int32)), pa.array(again)], ["doc_id", "wa", "wb", "start", "again"])
-
-    return listed.mapInArrow(find, WINDOWS)
-
-
-def cut(data: bytes, marks: list) -> tuple[int, int, bytes]:
-    """Removed bytes, removed runs and the bytes left when the windows (start, n) of marks are taken out."""
-    if not marks:
+def cut(data: bytes, start: np.ndarray, n: np.ndarray) -> tuple[int, int, bytes]:
+    """Removed bytes, removed runs and the bytes left when the windows start to start + n - 1 are taken out."""
+    if not len(start):
         return 0, 0, data
-    edge = np.zeros(len(data) + 1, np.int64)
-    np.add.at(edge, [m["start"] for m in marks], 1)
-    np.add.at(edge, [m["start"] + m["n"] - 1 + LENGTH for m in marks], -1)
+    edge = np.zeros(len(data) + 1, np.int32)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, start.astype(np.int64) + n - 1 + LENGTH, -1)
     gone = np.cumsum(edge[:-1]) > 0
     return int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), np.frombuffer(data, np.uint8)[~gone].tobytes()
 
 
-def repeated_windows(plain: DataFrame) -> DataFrame:
-    """doc_id and marks, the windows (start, n) that occur earlier, of the documents that have any."""
-    found = all_runs(plain)
-    buckets = found.where("not again").groupBy("bucket").agg(F.min("rank").alias("low"), F.max("rank").alias("high"), F.count(F.lit(1)).alias("n_runs"), F.min("doc_id").alias("first"))
-    buckets = B.written(buckets.where("n_runs > 1").select("bucket", "first", (F.col("low") != F.col("high")).alias("mixed")), "buckets")
-    # Runs that their own document had before are repeats whatever their bucket; the others need it.
-    met = found.join(buckets, "bucket", "left").where("again or mixed or doc_id > first")
-    met = B.written(met.select("doc_id", "bucket", "rank", "start", "n", "at", (F.col("again") | ~F.col("mixed")).alias("sure")), "runs")
-    unsure = met.where("not sure")
-    ranks = B.written(unsure.groupBy("bucket", "rank").agg(F.min("doc_id").alias("first")), "ranks")
-    # A bucket may be mixed only within one document, so ranks of a single run are compared too.
-    ranked = B.written(unsure.join(ranks, ["bucket", "rank"]).select("doc_id", "start", "n", "at", (F.col("doc_id") > F.col("first")).alias("later")), "ranked")
-    listed = lambda rows, *more: rows.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "at", *more)).alias("runs"))
-    first_runs = B.written(listed(ranked.where("not later")), "first_runs")
-    sides = B.written(side_rows(plain.join(first_runs, "doc_id").select("doc_id", "text", "runs")), "sides")
-    shared = B.written(sides.groupBy("side", "content").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("side", "content"), "shared_sides")
-    meeting = sides.join(shared, ["side", "content"], "left_semi").groupBy("doc_id", "start", "n", "at").agg(F.bit_or(F.expr("shiftleft(1, side)")).alias("sides"))
-    to_compare = B.written(listed(meeting, "sides"), "meeting_runs")
-    windows = B.written(window_rows(plain.join(to_compare, "doc_id").select("doc_id", "text", "runs")), "windows")
-    firsts = windows.where("not again").groupBy("wa", "wb").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    firsts = B.written(firsts, "window_firsts")
-    late = windows.where("again").select("doc_id", "start").unionAll(windows.where("not again").join(firsts, ["wa", "wb"]).where("doc_id > first").select("doc_id", "start"))
-    marks = met.where("sure").select("doc_id", "start", "n").unionAll(ranked.where("later").select("doc_id", "start", "n")).unionAll(late.select("doc_id", "start", F.lit(1).alias("n")))
-    return B.written(marks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("marks")), "marks")
+def ordered(docs: DataFrame) -> DataFrame:
+    """doc_id, a null one as the smallest long, row, the hash of doc_id and text, and text."""
+    plain = B.texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63)).cast("long")))
+    return plain.select("doc_id", F.hash("doc_id", "text").alias("row"), "text")
 
 
-def ordered(docs: DataFrame) -> DataFrame:
-    """doc_id and text, a null id as the smallest long."""
-    return B.texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63)).cast("long")))
+def repeated_windows(plain: DataFrame, parts: int, block: int) -> DataFrame:
+    """Packed marks, the windows that came before, of the texts of plain."""
+    found = B.written(_ranked(_scanned(plain, parts, block), parts), "ranked_runs")
+    late = B.written(_windows(found.where(F.col("kind") == RUNS), plain, parts, block), "window_marks")
+    return found.where(F.col("kind") == MARKS).unionAll(late)
 
 
 def reduced(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document."""
-    plain = ordered(docs)
-    marked = plain.join(repeated_windows(plain), "doc_id", "left").select("doc_id", "text", "marks")
+    plain, block = ordered(docs), BLOCK
+    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // TASK))
 
     def apply(batches):
-        for batch in batches:
+        for piece, texts, places, (_, _, start, n) in _met(batches, MARKS, block):
             rows = []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
-                data = text.encode()
-                removed, spans, left = cut(data, marks)
+            for data, (lo, hi) in zip(texts, places, strict=True):
+                removed, spans, left = cut(data, start[lo:hi], n[lo:hi])
                 rows.append((len(data), removed, spans, hashlib.sha256(left).hexdigest()))
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            columns = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    done = marked.mapInArrow(apply, RESULT)
+    done = _with_texts(repeated_windows(plain, parts, block), plain, parts).mapInArrow(apply, RESULT)
     return done.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(-(2**63)).cast("long"), F.col("doc_id")))

@@ -99,41 +99,30 @@ def test_repeated_strings(spark):
     assert S.reduced(docs.where("false")).count() == 0
 
 
-def test_long_texts(spark, monkeypatch):
-    """Texts that are scanned in several chunks."""
-    monkeypatch.setattr(S, "CHUNK", 700)
+def test_small_blocks(spark, monkeypatch):
+    """Many blocks and tasks: hot runs, buckets that are mixed within a block, across blocks and across both routes."""
+    monkeypatch.setattr(S, "BLOCK", 3000)
+    monkeypatch.setattr(S, "TASK", 8000)
+    items = list(enumerate(texts(5, 150)))
+    hot = " of the passage that stands in many documents with other words about it, and is longer than any run of windows can be, "
+    rnd = random.Random(6)
+    more = [("".join(rnd.choice("abcdefg ") for _ in range(150)) + hot + "".join(rnd.choice("abcdefg ") for _ in range(rnd.randint(0, 99)))) for _ in range(60)]
+    items += [(1000 + i, t) for i, t in enumerate([*more, *more[:5], *["same text over and over " * 9] * 40])]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.reduced(frame(spark, items)).collect()}
+    assert got == suffix(items)
+    # Rows of one doc_id with different texts don't remove each other's bytes.
+    a, b = more[0], more[1] * 3
+    twice = frame(spark, [(4, a), (4, b), (4, b), (5, a)])
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in S.reduced(twice).collect()) == sorted([(4, len(a), 0), *[(4, len(b), 2 * len(more[1]))] * 2, (5, len(a), len(a))])
+
+
+def test_long_texts(spark):
+    """Texts that are scanned in several chunks, through Spark."""
     rnd = random.Random(8)
-    a = "".join(rnd.choice("abcd é") for _ in range(3000))
-    items = [(0, a), (1, a[500:2500] + a[:300]), (2, a[:1100] + "!" + a[1101:]), (3, "x" * 2000)]
-    S._tables.cache_clear()
-    assert {d: r for d, r in one_machine(items).items()} == suffix(items)
-    S._tables.cache_clear()
-
-
-def one_machine(items):
-    """The steps of the operator without Spark."""
-    raw = [(t or "").encode() for _, t in items]
-    rows = [r for part in S.runs(raw) for r in zip(*part, strict=True)]
-    marks, seen = {i: [] for i in range(len(raw))}, {}
-    buckets = {}
-    for doc, start, n, _, bucket, rank in rows:
-        buckets.setdefault(int(bucket), []).append((doc, start, n, int(rank)))
-    for own in buckets.values():
-        for doc, start, n, _ in own:
-            for s in range(start, start + n):
-                x = raw[doc][s : s + 100]
-                seen.setdefault(x, []).append((doc, s))
-    for places in seen.values():
-        for doc, s in sorted(places)[1:]:
-            if (doc, s) != min(places):
-                marks[doc].append({"start": int(s), "n": 1})
-    import hashlib
-
-    out = {}
-    for i, b in enumerate(raw):
-        removed, spans, left = S.cut(b, marks[i])
-        out[items[i][0]] = (len(b), removed, spans, hashlib.sha256(left).hexdigest())
-    return out
+    a = "".join(rnd.choices("abcd é", k=1_150_000))
+    items = [(0, a), (1, a[500_000:540_000] + a[:300]), (2, a[1_030_000:1_060_000] + "!" + a[1_060_001:1_070_000]), (3, "x" * 2000), (4, a[10:1_100_000])]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.reduced(frame(spark, items)).collect()}
+    assert got == suffix(items)
 
 
 def test_signature_is_deterministic():
