@@ -94,3 +94,76 @@ def test_pii_terms_far_away(spark):
     got = {r.doc_id: r.spans for r in P.detect(docs).collect()}
     assert all("term:0:8" in got[i] for i in range(4)) and "term:14:22" in got[4] and got[9] == ""
     assert not any("zanzibar" in r.text.lower() for r in P.sanitised(docs).collect())
+
+
+def disclosed(texts, support, generalise):
+    """doc -> spans, by plain counts over all texts."""
+    import math
+
+    import regex
+
+    base = {d: [s.split(":") for s in pii(t)[-1].split(",") if s] for d, t in texts.items()}
+    digits = lambda v: regex.sub("[^0-9]", "", v)
+    name = lambda k, v: f"{k}:{digits(v) if k in ('card', 'phone') else v.lower()}"
+    held = {d: {name(k, texts[d][int(a) : int(b)]) for k, a, b in spans} for d, spans in base.items()}
+    terms = {d: set(regex.findall(r"\p{L}{3,}", t.lower())) for d, t in texts.items()}
+    n_term = {}
+    for own in terms.values():
+        for t in own:
+            n_term[t] = n_term.get(t, 0) + 1
+    out, rules = {}, {}
+    for c in set().union(*held.values()):
+        with_c = [d for d in texts if c in held[d]]
+        for t in set().union(*[terms[d] for d in with_c]):
+            both = [d for d in with_c if t in terms[d]]
+            if len({texts[d] for d in both}) < support or len(with_c) == len(texts):
+                continue
+            score = math.log(len(both) * len(texts) / (n_term[t] * len(with_c))) / math.log(len(texts) / len(with_c))
+            if score >= generalise - 1e-9:
+                rules.setdefault(c, set()).add(t)
+    for d, t in texts.items():
+        own = set().union(*[rules.get(c, set()) for c in held[d]])
+        taken = [(int(a), k, int(b)) for k, a, b in base[d]]
+        more = [(m.start(), "term", m.end()) for m in regex.finditer(r"\p{L}{3,}", t) if m[0].lower() in own and not any(a < m.end() and m.start() < b for a, _, b in taken)]
+        order = ("email", "ip", "card", "phone", "term")
+        out[d] = ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(taken + more, key=lambda s: (s[0], order.index(s[1]))))
+    return out
+
+
+@pytest.mark.parametrize("support", [1, 3])
+def test_disclosure_by_brute_force(spark, support):
+    rnd = random.Random(21)
+    vocabulary = ["".join(rnd.choice("abcdeéß") for _ in range(rnd.randint(2, 6))) for _ in range(60)]
+    values = ["ann@corp.org", "+33 123 456 789", "10.0.0.7", "4111 1111 1111 1111", "bob@corp.org"]
+    texts = {}
+    for d in range(120):
+        w = rnd.choices(vocabulary, k=rnd.randint(5, 150))
+        for v in rnd.sample(range(5), rnd.choice([0, 0, 0, 1, 1, 2])):
+            w[rnd.randrange(len(w))] = values[v] + rnd.choice(["", "", ".", "zeb"])
+            w[rnd.randrange(len(w))] = ["Zanzibar", "Quito", "oslo", "Lima", "bob"][v]
+        texts[d] = " ".join(w)
+    texts |= {120: texts[3], 121: texts[3], 122: "", 123: "x@y.z"}
+    got = {r.doc_id: r.spans for r in P.detect(spark.createDataFrame(rows(texts.values()), DOCS), support=support).collect()}
+    want = disclosed(texts, support, P.GENERALISE)
+    assert got == want and any("term:" in x for x in want.values())
+
+
+def test_long_revealed_texts(spark):
+    """Tens of thousands of terms and of base spans in one text: places are right, and the time for each word doesn't grow."""
+    import time
+
+    def run(n):
+        long = " ".join(f"Zanzibar é𝒳 a{i % 10}@corp.org pad" for i in range(n))
+        texts = [long + f" {i}" for i in range(4)] + [f"pad words {i}" for i in range(60)]
+        docs = spark.createDataFrame(rows(texts), DOCS)
+        began = time.time()
+        got = {r.doc_id: r for r in P.detect(docs).collect()}
+        clean = {r.doc_id: r.text for r in P.sanitised(docs).collect()}
+        return time.time() - began, got, clean
+
+    run(10)
+    short, _, _ = run(2500)
+    took, got, clean = run(20000)
+    assert got[0].n_email == 20000 and got[0].spans.count("term:") == 20000 and got[0].spans.startswith("term:0:8,email:12:23,term:28:36,")
+    assert clean[0] == " ".join(" é𝒳 [EMAIL] pad" for _ in range(20000)) + " 0" and clean[9] == "pad words 5"
+    assert took < 2 * 8 * short
