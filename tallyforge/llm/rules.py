@@ -1,33 +1,43 @@
 """Quality rules with risk-controlled thresholds.
 
 Every document gets counts of words, symbols, repeated lines and repeated five-word windows. A fixed base rule rejects very
-short and very repetitive texts. The other rules compare a ratio with a cutoff that is chosen on labelled documents: per
-stratum and rule, cutoffs are tried from the most lenient to the strictest, and the last one is taken for which the exact
-binomial test still shows (at ``error`` / number of rules and strata) that it rejects at most ``risk`` / number of rules of
-good documents. Trying in a fixed order needs no further correction; the split over rules and strata is Bonferroni's. A
-stratum with too few labels to show this gets no cutoff, so its rules reject nothing.
-
-DataFrame operations only. Null texts have no words and fail the base rule; repeated rows are counted and judged each by
-itself; labels that repeat a document count once, with the lowest mark; without labels only the base rule acts.
+short and very repetitive texts. The other rules compare a ratio with a cutoff; the cutoffs of all rules form one sequence of
+``STEPS`` settings from lenient to strict, each rejecting what the one before does. On labelled documents the settings are tried in this order, per
+stratum, and the last one is taken for which the exact binomial test still shows, at ``error`` / number of strata, that all rules
+together reject at most a share ``risk`` of the good documents that pass the base rule. A fixed order needs no further
+correction, as the first setting that fails ends it; the split over strata is Bonferroni's, so with probability 1 - ``error`` no
+stratum loses more than ``risk``.
+
+Strata are the languages of ``STRATA`` and all others. Those with fewer good labels than the test needs to pass at all
+(75 with the defaults) are pooled into one, which the bound then holds for as a whole; if that is too small as well, only the base rule acts.
+
+DataFrame operations only. Null texts have no words and fail the base rule; texts of any length are counted whole; repeated
+rows are counted and judged each by itself; labels that repeat a document count once, with the lowest mark; without labels
+only the base rule acts; other columns are kept whatever their names; without documents there are no rows.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm import _base as B
 
-#: Values above the cutoff are rejected; the candidates go from lenient to strict.
+#: Values above the cutoff are rejected. Setting i holds the i-th cutoff of each rule; no list rises.
 RULES = {
     "symbols_per_word": [4.0, 3.0, 2.0, 1.5, 1.0, 0.8, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1],
-    "dup_line_share": [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1],
-    "repeat_word_share": [0.2, 0.18, 0.16, 0.14, 0.12, 0.1, 0.08, 0.06],
-    "capital_share": [0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2],
-    "exclamations_per_word": [2.0, 1.5, 1.0, 0.8, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1],
-    "mean_word_chars": [60.0, 40.0, 30.0, 25.0, 20.0, 16.0, 14.0, 12.0],
+    "dup_line_share": [0.9, 0.8, 0.7, 0.65, 0.6, 0.55, 0.5, 0.48, 0.45, 0.42, 0.4, 0.38, 0.36, 0.34],
+    "repeat_word_share": [0.2, 0.2, 0.2, 0.2, 0.2, 0.2, 0.2, 0.2, 0.19, 0.19, 0.18, 0.18, 0.17, 0.16],
+    "capital_share": [0.95, 0.9, 0.8, 0.7, 0.6, 0.55, 0.5, 0.48, 0.45, 0.42, 0.4, 0.38, 0.35, 0.3],
+    "exclamations_per_word": [2.0, 1.5, 1.0, 0.8, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.18, 0.15, 0.1],
+    "mean_word_chars": [60.0, 40.0, 30.0, 25.0, 22.0, 20.0, 18.0, 17.0, 16.0, 15.0, 14.5, 14.0, 13.0, 12.0],
 }
+STEPS = 14
 STRATA = ("en", "fr", "de", "es")
+POOL = "other"
 RISK = 0.06
 ERROR = 0.05
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -79,11 +89,16 @@ def counted(docs: DataFrame, *more: str) -> DataFrame:
         share(F.col("q_exclamations"), n).alias("q_exclamations_per_word"),
         share(F.col("q_word_chars"), n).alias("q_mean_word_chars"),
     )
-    return made.withColumn("q_base_failed", (F.col("q_n_words") < 10) | (100 * F.col("q_n_repeat_words") > 20 * F.col("q_n_words")))
+    return made.withColumn("q_base_failed", (F.col("q_n_words") < 10) | (100 * F.col("q_n_repeat_words") > 20 * F.col("q_n_words"))).withColumn("q_step", step())
+
+
+def step() -> Column:
+    """The first setting that rejects a document, STEPS if none does."""
+    return F.least(*[functools.reduce(lambda c, e: c.when(F.col(f"q_{rule}") > e[1], e[0]), enumerate(cuts), F).otherwise(STEPS) for rule, cuts in RULES.items()])
 
 
 def stratum(lang: Column) -> Column:
-    return F.when(lang.cast("string").isin(*STRATA), lang.cast("string")).otherwise("other")
+    return F.when(lang.cast("string").isin(*STRATA), lang.cast("string")).otherwise(POOL)
 
 
 def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
@@ -99,29 +114,32 @@ def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return summed
 
 
+def fewest(risk: float, error: float) -> int:
+    """Good labels that the test needs to pass when none of them is rejected."""
+    return math.ceil(math.log(error / (len(STRATA) + 1)) / math.log(1 - risk))
+
+
 def thresholds(features: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """stratum and one cutoff a rule (null: none is safe); as many rows as there are strata at most."""
+    """q_stratum, a row for each, and q_cut, the last safe setting (null: none is)."""
     marks = labels.select(F.col("doc_id").cast("long").alias("q_doc"), F.col("quality").cast("int").alias("q_mark")).where("q_doc is not null and q_mark is not null").groupBy("q_doc").agg(F.min("q_mark").alias("q_mark"))
     good = features.where(~F.col("q_base_failed")).join(marks.where("q_mark = 1"), F.col("doc_id") == F.col("q_doc"), "left_semi")
-    hits = [F.sum((F.col(f"q_{rule}") > F.lit(c)).cast("long")).alias(f"{rule}__{i}") for rule, cutoffs in RULES.items() for i, c in enumerate(cutoffs)]
-    totals = good.groupBy(stratum(F.col("lang")).alias("q_stratum")).agg(F.count(F.lit(1)).alias("q_n"), *hits)
-    allowed, level = risk / len(RULES), error / (len(RULES) * (len(STRATA) + 1))
-    picks = []
-    for rule, cutoffs in RULES.items():
-        tests = F.array(*[F.struct(F.lit(c).alias("cut"), F.col(f"{rule}__{i}").alias("k")) for i, c in enumerate(cutoffs)])
-        safe = lambda e: (e["k"] <= F.col("q_n") * F.lit(allowed)) & (log_binomial_cdf(e["k"], F.col("q_n"), allowed) <= F.log(F.lit(level)))
-        # False rejections only grow along the cutoffs, so the safe ones come first.
-        picks.append(F.array_min(F.transform(F.filter(tests, safe), lambda e: e["cut"])).alias(f"cut_{rule}"))
-    return totals.select("q_stratum", *picks)
+    hits = [F.sum((F.col("q_step") <= i).cast("long")).alias(f"k{i}") for i in range(STEPS)]
+    told = good.groupBy(stratum(F.col("lang")).alias("q_of")).agg(F.count(F.lit(1)).alias("q_n"), *hits)
+    every = labels.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x) for x in (*STRATA, POOL)])).alias("q_stratum"))
+    own = every.join(told, F.col("q_of") == F.col("q_stratum"), "left").withColumn("q_pool", F.when(F.col("q_n") >= fewest(risk, error), F.col("q_stratum")).otherwise(POOL))
+    pools = own.groupBy(F.col("q_pool").alias("q_of_pool")).agg(F.coalesce(F.sum("q_n"), F.lit(0)).alias("n"), *[F.coalesce(F.sum(f"k{i}"), F.lit(0)).alias(f"k{i}") for i in range(STEPS)])
+    n, level = F.col("n"), math.log(error / (len(STRATA) + 1))
+    safe = lambda i: (F.col(f"k{i}") <= n * F.lit(risk)) & (log_binomial_cdf(F.col(f"k{i}"), n, risk) <= F.lit(level))
+    # False rejections only grow along the settings, so the safe ones come first.
+    cut = F.array_max(F.array(*[F.when(safe(i), i) for i in range(STEPS)]))
+    cuts = pools.select("q_of_pool", cut.alias("q_cut"))
+    return own.select("q_stratum", "q_pool").join(cuts, F.col("q_pool") == F.col("q_of_pool")).select("q_stratum", "q_cut")
 
 
 def judged(features: DataFrame, cuts: DataFrame) -> DataFrame:
-    """features with ``q_kept``. cuts has a row for each of the strata at most, so it can be broadcast."""
-    over = [F.coalesce(F.col(f"q_{rule}") > F.col(f"cut_{rule}"), F.lit(False)) for rule in RULES]
-    rejected = F.col("q_base_failed")
-    for x in over:
-        rejected = rejected | x
-    return features.withColumn("q_of", stratum(F.col("lang"))).join(F.broadcast(cuts), F.col("q_of") == F.col("q_stratum"), "left").withColumn("q_kept", ~rejected)
+    """features with ``q_kept``. cuts has a row for each of the strata, so it can be broadcast."""
+    rejected = F.col("q_base_failed") | F.coalesce(F.col("q_step") <= F.col("q_cut"), F.lit(False))
+    return features.withColumn("q_in", stratum(F.col("lang"))).join(F.broadcast(cuts), F.col("q_in") == F.col("q_stratum"), "left").withColumn("q_kept", ~rejected)
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -132,8 +150,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns. The texts are read twice and never shuffled."""
-    names = docs.columns
-    cuts = B.written(thresholds(counted(docs.select("doc_id", "lang", "text"), "doc_id", "lang"), labels), "cutoffs")
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("q_row"), "lang", "text")
-    return judged(counted(row, "q_row", "lang"), cuts).where("q_kept").select("q_row.*")
+    """The documents that the rules keep, with all their columns. They are written once beside their counts, and never shuffled."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_row"), "doc_id", "lang", "text")
+    made = counted(row, "q_row", "doc_id", "lang").select("q_row", "doc_id", "lang", "q_base_failed", "q_step")
+    features = B.written(made, "features")
+    cuts = B.written(thresholds(features, labels), "cutoffs")
+    return judged(features, cuts).where("q_kept").select("q_row.*")

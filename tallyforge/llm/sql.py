@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from tallyforge.llm import rules
 
 _WORDS = "list_filter(string_split_regex({t}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
@@ -16,24 +18,24 @@ _SHARES = {
 
 
 def _rules() -> str:
-    allowed, level = rules.RISK / len(rules.RULES), rules.ERROR / (len(rules.RULES) * (len(rules.STRATA) + 1))
+    level = math.log(rules.ERROR / (len(rules.STRATA) + 1))
     share = lambda r: f"CAST({_SHARES[r][0]} AS DOUBLE) / greatest({_SHARES[r][1]}, 1)"
-    cuts = ", ".join(f"('{r}', {i}, CAST({c} AS DOUBLE))" for r, cs in rules.RULES.items() for i, c in enumerate(cs))
-    long = " UNION ALL ".join(f"SELECT doc_id, stratum, '{r}' AS rule, {share(r)} AS v FROM f WHERE NOT base_failed" for r in rules.RULES)
+    first = lambda r, cuts: f"CASE {' '.join(f'WHEN {share(r)} > {c} THEN {i}' for i, c in enumerate(cuts))} ELSE {rules.STEPS} END"
+    strata = ", ".join(f"('{s}')" for s in (*rules.STRATA, rules.POOL))
     return f"""WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
  w AS (SELECT *, {_WORDS.replace("{t}", "text")} AS ws, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
  g AS (SELECT doc_id, i, ws[i : i + 4] AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
  twice AS (SELECT doc_id, win FROM g GROUP BY 1, 2 HAVING count(*) > 1),
  covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT g.doc_id, unnest(range(g.i, g.i + 5)) AS p FROM g JOIN twice t ON g.doc_id = t.doc_id AND g.win = t.win) GROUP BY 1),
- f0 AS (SELECT w.doc_id, CASE WHEN lang IN ({", ".join(f"'{s}'" for s in rules.STRATA)}) THEN lang ELSE 'other' END AS stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+ f0 AS (SELECT w.doc_id, CASE WHEN lang IN ({", ".join(f"'{s}'" for s in rules.STRATA)}) THEN lang ELSE '{rules.POOL}' END AS stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines, coalesce(c.n, 0) AS n_repeat_words,
   length(text) - length(regexp_replace(text, '\\p{{Lu}}', '', 'g')) AS capitals, length(text) - length(replace(text, '!', '')) AS exclamations FROM w LEFT JOIN covered c ON w.doc_id = c.doc_id),
- f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f0), v AS ({long}),
- good AS (SELECT v.* FROM v JOIN (SELECT doc_id FROM labels GROUP BY 1 HAVING min(quality) = 1) l USING (doc_id)), cuts(rule, i, cut) AS (VALUES {cuts}),
- k AS (SELECT stratum, rule, cut, count(*) AS n, count(*) FILTER (WHERE v > cut) AS k FROM good JOIN cuts USING (rule) GROUP BY 1, 2, 3),
- safe AS (SELECT stratum, rule, min(cut) AS cut FROM k WHERE k <= n * {allowed} AND list_sum([exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln({allowed}) + (n - x) * ln(1 - {allowed})) for x in range(0, k + 1)]) <= {level} GROUP BY 1, 2),
- bad AS (SELECT DISTINCT v.doc_id FROM v JOIN safe s ON v.stratum = s.stratum AND v.rule = s.rule WHERE v.v > s.cut)
- SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM f"""
+ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, least({", ".join(first(r, c) for r, c in rules.RULES.items())}) AS step FROM f0),
+ good AS (SELECT f.* FROM f JOIN (SELECT doc_id FROM labels GROUP BY 1 HAVING min(quality) = 1) l USING (doc_id) WHERE NOT base_failed),
+ own AS (SELECT s.stratum, count(g.doc_id) AS n, CASE WHEN count(g.doc_id) >= {rules.fewest(rules.RISK, rules.ERROR)} THEN s.stratum ELSE '{rules.POOL}' END AS pool FROM (VALUES {strata}) s(stratum) LEFT JOIN good g ON g.stratum = s.stratum GROUP BY 1),
+ k AS (SELECT pool, i, count(g.doc_id) AS n, count(*) FILTER (WHERE step <= i) AS k FROM own LEFT JOIN good g ON g.stratum = own.stratum CROSS JOIN range({rules.STEPS}) t(i) GROUP BY 1, 2),
+ safe AS (SELECT pool, max(i) AS cut FROM k WHERE k <= n * {rules.RISK} AND ln(list_sum([exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln({rules.RISK}) + (n - x) * ln(1 - {rules.RISK})) for x in range(0, k + 1)])) <= {level} GROUP BY 1)
+ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(step <= cut, false)) AS kept FROM f LEFT JOIN own USING (stratum) LEFT JOIN safe USING (pool)"""
 
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

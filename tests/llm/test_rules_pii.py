@@ -64,6 +64,46 @@ def test_rules_bound_and_columns(spark):
     assert R.accepted(docs.where("false"), labels).count() == 0 and R.apply_rules(docs.where("false"), labels.where("false")).count() == 0
 
 
+def test_strata_by_brute_force(spark):
+    """Cutoffs of a large stratum, of small ones in a pool, and of one whose good documents are noisy."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    rnd, docs, marks = random.Random(5), [], []
+    for i in range(900):
+        lang = rnd.choice(["en", "en", "en", "de", "de", "fr", "xx", None] if i % 9 else ["es"])
+        good = rnd.random() < 0.8
+        noise = rnd.choice([0, 0, 3, 12]) if lang == "de" else 0 if good else rnd.choice([8, 20, 40])
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(40)]
+        docs.append((i, " ".join(w + ("%%" if k < noise else "") for k, w in enumerate(words)), lang, "s", 1))
+        if i % 3:
+            marks.append((i, int(good), 0))
+    frame, labels = spark.createDataFrame(docs, DOCS), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    features = R.counted(frame, "doc_id", "lang")
+    steps = {r.doc_id: (r.lang if r.lang in R.STRATA else R.POOL, r.q_step, r.q_symbols_per_word) for r in features.collect()}
+    assert all(s == next((i for i, c in enumerate(R.RULES["symbols_per_word"]) if v > c), R.STEPS) for _, s, v in steps.values())
+    good = [d for d, q, _ in marks if q]
+    level, need = R.ERROR / 5, R.fewest(R.RISK, R.ERROR)
+    assert (1 - R.RISK) ** need <= level < (1 - R.RISK) ** (need - 1)
+    size = {s: sum(steps[d][0] == s for d in good) for s in (*R.STRATA, R.POOL)}
+    pool = {s: s if n >= need else R.POOL for s, n in size.items()}
+    want = {}
+    for p in set(pool.values()):
+        own = [steps[d][1] for d in good if pool[steps[d][0]] == p]
+        n, best = len(own), None
+        for i in range(R.STEPS):
+            k = sum(s <= i for s in own)
+            if k <= R.RISK * n and sum(math.comb(n, x) * R.RISK**x * (1 - R.RISK) ** (n - x) for x in range(k + 1)) <= level:
+                best = i
+        want |= {s: best for s, q in pool.items() if q == p}
+    got = {r.q_stratum: r.q_cut for r in R.thresholds(features, labels).collect()}
+    assert got == want and want["en"] == R.STEPS - 1 and pool["es"] == R.POOL != pool["de"] and want["de"] != want["en"]
+    kept = {r.doc_id: r.kept for r in R.apply_rules(frame, labels).collect()}
+    assert kept == {d: not (want[s] is not None and k <= want[s]) for d, (s, k, _) in steps.items()}
+    assert {r.doc_id for r in R.accepted(frame.withColumn("q_step", F.lit("clash")), labels).collect()} == {d for d, k in kept.items() if k}
+
+
 def test_pii_base(spark):
     docs = spark.createDataFrame([(*r, "x") for r in rows(ODD)] + [(None, "a@b.cd", None, None, None, None)], DOCS + ", spans string")
     got = {r.doc_id: r for r in P.detect(docs).collect()}
