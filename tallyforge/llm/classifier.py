@@ -2,13 +2,16 @@
 
 Terms are the hashed pairs of adjacent bytes and some shape tokens (capitals, digits, symbols, repeated lines and words). On
 a bounded sample of labelled documents (``SAMPLE`` rows, those of smallest hash) the weights log(1 + count) * idf are factored
-by SVD; the ``RANK`` leading directions and the sample's vectors are broadcast: SAMPLE * RANK + TERMS * RANK floats, under 1 MB.
+by SVD; the ``RANK`` leading directions and the sample's vectors are broadcast: SAMPLE * RANK + TERMS * RANK floats, 1.6 MB.
 Every document is projected, its exact cosines with all labelled vectors are computed in blocks, and the labels of the
-``NEIGHBOURS`` nearest vote with weights cosine ** ``SHARP``; a vote of the overall share of label 1 is added.
+``NEIGHBOURS`` nearest vote with weights cosine ** ``SHARP``; a vote of the overall share of label 1 is added. Labelled documents
+that are as near as the last of them (within ``TIE``) share the places that are left in equal parts, so no order of rows decides.
+The sample's terms are counted on executors: the driver gets SAMPLE vectors, whatever the lengths of the texts.
 
 Only labels of documents with crc32(doc_id) mod 3 != 1 are used; labels, lang, source and doc_id are never inputs of a score.
 Null texts are empty: they have no direction, so their score is the share of label 1. Without labels every score is 0.5.
-Labels that repeat a document count once, with the lowest mark; repeated rows are scored alike.
+Labels that repeat a document count once, with the lowest mark; repeated rows are scored alike; texts of any length are counted
+whole; other columns are left alone, whatever their names; without documents there are no rows.
 """
 
 from __future__ import annotations
@@ -20,12 +23,13 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import _base as B
 
-SAMPLE = 3000
+SAMPLE = 4000
 RANK = 48
-TERMS = 1024
+TERMS = 4096
 NEIGHBOURS = 25
 SHARP = 4
 PRIOR = 0.1
+TIE = 1e-5
 BLOCK = 512
 SHAPES = 12
 SCORED = "doc_id long, score double"
@@ -62,14 +66,14 @@ def counts(text: str) -> np.ndarray:
 
 
 class Space:
-    """Directions and labelled vectors; made once on the driver from the bounded sample."""
+    """Directions and labelled vectors; made once on the driver from the terms of the bounded sample."""
 
-    def __init__(self, texts: list[str], marks: list[int]):
+    def __init__(self, terms: list[np.ndarray], marks: list[int]):
         self.share = (sum(marks) + 1) / (len(marks) + 2)
-        grid = np.log1p(np.array([counts(t) for t in texts], np.float32).reshape(len(texts), TERMS))
-        self.idf = (np.log((1 + len(texts)) / (1 + (grid > 0).sum(axis=0))) + 1).astype(np.float32)
+        grid = np.log1p(np.array(terms, np.float32).reshape(len(terms), TERMS))
+        self.idf = (np.log((1 + len(terms)) / (1 + (grid > 0).sum(axis=0))) + 1).astype(np.float32)
         grid *= self.idf
-        self.mean = grid.mean(axis=0) if len(texts) else np.zeros(TERMS, np.float32)
+        self.mean = grid.mean(axis=0) if len(terms) else np.zeros(TERMS, np.float32)
         grid -= self.mean
         _, vectors = np.linalg.eigh(grid.T @ grid)
         self.axes = vectors[:, ::-1][:, :RANK].astype(np.float32)
@@ -89,9 +93,11 @@ class Space:
             part = texts[begin : begin + BLOCK]
             weights = np.log1p(np.array([counts(t) for t in part])) * self.idf - self.mean
             near = (self._unit(weights @ self.axes).astype(np.float32)) @ self.known.T
-            top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-            vote = np.maximum(np.take_along_axis(near, top, axis=1), 0) ** SHARP
-            got = (vote * self.labels[top]).sum(axis=1) + PRIOR * self.share
+            last = np.partition(near, -k, axis=1)[:, -k][:, None]
+            above, level = near > last + TIE, np.abs(near - last) <= TIE
+            places = above + level * ((k - above.sum(axis=1)) / level.sum(axis=1))[:, None]
+            vote = places * np.maximum(near, 0) ** SHARP
+            got = vote @ self.labels + PRIOR * self.share
             full = np.array([bool(t) for t in part])
             out[begin : begin + BLOCK] = np.where(full, got / (vote.sum(axis=1) + PRIOR), self.share)
         return out
@@ -105,10 +111,17 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Space:
     marks = labels.select(F.col("doc_id").cast("long").alias("l_doc"), F.col("quality").cast("int").alias("mark")).where("l_doc is not null and mark is not null").groupBy("l_doc").agg(F.min("mark").alias("mark"))
     chosen = marks.where(~held_out(F.col("l_doc"))).orderBy(F.xxhash64("l_doc"), "l_doc").limit(SAMPLE)
     chosen = B.written(chosen, "labelled_sample")
-    # At most SAMPLE ids: they may be broadcast, and as many texts come to the driver.
-    rows = B.texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("l_doc")).groupBy("l_doc").agg(F.min("text").alias("text"), F.min("mark").alias("mark")).orderBy("l_doc")
-    rows = [(counts_text, mark) for _, counts_text, mark in rows.toLocalIterator()]
-    return Space([t for t, _ in rows], [m for _, m in rows])
+    # At most SAMPLE ids: they may be broadcast, and as many vectors come to the driver.
+    rows = B.texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("l_doc")).select("l_doc", "text", "mark")
+
+    def count(batches):
+        for batch in batches:
+            terms = [counts(t.as_py()).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("l_doc"), pa.array(terms, pa.binary()), batch.column("mark")], ["l_doc", "terms", "mark"])
+
+    # Rows that repeat a document count once, with the smallest vector.
+    known = rows.mapInArrow(count, "l_doc long, terms binary, mark int").groupBy("l_doc").agg(F.min("terms").alias("terms"), F.min("mark").alias("mark")).orderBy("l_doc").collect()
+    return Space([np.frombuffer(r.terms, np.float32) for r in known], [r.mark for r in known])
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
