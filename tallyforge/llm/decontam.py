@@ -3,21 +3,26 @@
 Texts and benchmark items become sequences of canonical words: a number is ``\\x02``, a unit after it ``\\x03``, a capitalised
 word inside a sentence ``\\x01`` (a name); the rest is lower-cased without punctuation. Windows of five canonical words with
 three literal words or more are hash-joined. Matches on one diagonal (same shift between item and document) are an
-alignment; it counts if its slots are consistent, that is each value of the item stands for one value of the document. An
+alignment; it counts if its slots are consistent: each value of the item stands for one value of the document, and no two
+names of the item for one name (two numbers or units may be drawn alike). An
 item is leaked into a document if consistent alignments cover 75 % of the item's windows, so verbatim copies and copies with
 other numbers, names or units are found alike.
 
+A document that covers 75 % of an item's n windows holds one of any n - ceil(0.75 n) + 1 of them. So a pair of document and
+item is only formed by the item's windows that are rarest in the documents; windows that many items and many documents share form none.
+
 A capitalised word that opens a sentence, a quote or the text may be a name or not, so there are two forms of each sequence: it
 is a literal in the strict form and ``\\x01`` in the loose one. Windows meet within a form, and alignments of either form cover
 the item's windows; which windows count is told by the strict form.
 
-DataFrame operations only. Null and short texts (under five words) and short items match nothing; repeated rows of a
-document count once; documents with a null id are reported under a null id.
+DataFrame operations only. Null and short texts (under five words) and short items match nothing; texts of any length are read
+whole; repeated rows of a document or an item count once; documents with a null id are reported under a null id; other columns
+are left alone, whatever their names; without documents or items there are no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import _base as B
@@ -56,8 +61,8 @@ def with_windows(table: DataFrame, key: str) -> DataFrame:
 
 
 def slots(canon: Column, raw: Column) -> Column:
-    """Values of a window: the raw word where the canonical one has a placeholder, else null."""
-    return F.zip_with(canon, raw, lambda c, r: F.when(c.rlike("[\u0001-\u0003]"), F.btrim(r, F.lit(_EDGE))))
+    """Values of a window: placeholders and raw word where the canonical one has a placeholder, else null."""
+    return F.zip_with(canon, raw, lambda c, r: F.when(c.rlike("[\u0001-\u0003]"), F.concat(F.regexp_replace(c, "[^\u0001-\u0003]", ""), F.btrim(r, F.lit(_EDGE)))))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -75,11 +80,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hashes = bench.select("h").distinct()
     hashes = F.broadcast(hashes) if bench.count() <= BROADCAST_WINDOWS else hashes
     seen = with_windows(B.texts(docs), "doc_id").join(hashes, "h", "left_semi")
-    seen = seen.select("doc_id", "at", "h", forms).withColumnRenamed("slots", "doc_slots")
+    seen = B.written(seen.select("doc_id", "at", "h", forms).withColumnRenamed("slots", "doc_slots"), "seen_windows")
+    # Windows of an item by how many of the documents' windows they meet, in either form.
+    often = seen.groupBy("h", "form").agg(F.count(F.lit(1)).alias("n_met"))
+    places = bench.join(often, ["h", "form"], "left").groupBy("item_id", "item_at").agg(F.coalesce(F.sum("n_met"), F.lit(0)).alias("n_met"))
+    by_item = Window.partitionBy("item_id")
+    places = places.select("item_id", "item_at", F.row_number().over(by_item.orderBy("n_met", "item_at")).alias("place"), F.count(F.lit(1)).over(by_item).alias("n_item"))
+    probes = bench.join(places.where(F.col("place") <= F.col("n_item") - F.ceil(COVER * F.col("n_item")) + 1), ["item_id", "item_at"], "left_semi")
+    pairs_met = seen.join(probes.select("h", "form", "item_id"), ["h", "form"]).select(F.col("doc_id").alias("d_met"), "item_id").distinct()
+    met = seen.join(pairs_met, F.col("doc_id").eqNullSafe(F.col("d_met"))).join(bench, ["item_id", "h", "form"])
     pair = F.filter(F.zip_with("item_slots", "doc_slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc"))), lambda e: e["item"].isNotNull())
-    met = seen.join(bench, ["h", "form"]).select("doc_id", "item_id", "form", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pair.alias("pairs"))
+    met = met.select("doc_id", "item_id", "form", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pair.alias("pairs"))
     aligned = met.groupBy("doc_id", "item_id", "form", "shift").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = aligned.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda e: e["item"]))))
+    once = lambda pairs, side: F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda e: e[side])))
+    consistent = aligned.where(once(F.col("pairs"), "item") & once(F.filter("pairs", lambda e: e["item"].startswith("\u0001")), "doc"))
     covered = consistent.select("doc_id", "item_id", F.explode("at").alias("item_at")).distinct().groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_windows"))
     totals = bench.groupBy("item_id").agg(F.count_distinct("item_at").alias("n_item"))
     return covered.join(totals, "item_id").where(F.col("n_windows") >= COVER * F.col("n_item")).select("doc_id", "item_id", "n_windows", (F.col("n_windows") / F.col("n_item")).alias("coverage"))
