@@ -18,6 +18,7 @@ from __future__ import annotations
 import array
 import functools
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import _base as B
 from tallyforge.llm import files
+from tallyforge.llm.bpe import byte_letters
 
 MAGIC = b"TFPF1\n"
 BLOCK = 256
@@ -51,26 +53,29 @@ _FOOT = struct.Struct("<QQQ6s")
 def pack(ids: np.ndarray) -> list[bytes]:
     """Blocks of up to BLOCK ids each."""
     n = -(-len(ids) // BLOCK)
-    grid = np.full(n * BLOCK, ids[-1], np.int64)
+    grid = np.full(n * BLOCK, ids[-1], "<u4")
     grid[: len(ids)] = ids
     grid = grid.reshape(n, BLOCK)
     low = grid.min(axis=1)
     rest = grid - low[:, None]
     limit = np.partition(rest, int(BLOCK * SHARE) - 1, axis=1)[:, int(BLOCK * SHARE) - 1]
-    width = np.ceil(np.log2(limit + 1)).astype(np.int64)
-    out: list[bytes] = [b""] * n
-    for w in np.unique(width):
+    width = np.ceil(np.log2(limit + 1.0)).astype(np.int64)
+    over = rest >> width.astype(np.uint32)[:, None] > 0
+    over.reshape(-1)[len(ids) :] = False
+    block, at = np.nonzero(over)
+    values, at = rest[block, at].tobytes(), at.astype(np.uint8).tobytes()
+    ends = np.cumsum(np.append(0, over.sum(axis=1))).tolist()
+    rest[over] = 0
+    packed: list[bytes] = [b""] * n
+    for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
-        part = rest[own]
-        over = part >> w > 0
-        bits = (np.where(over, 0, part)[:, :, None] >> np.arange(w) & 1).astype(np.uint8)
-        packed = np.packbits(bits.reshape(len(own), -1), axis=1, bitorder="little") if w else np.zeros((len(own), 0), np.uint8)
-        for k, i in enumerate(own):
-            at = np.flatnonzero(over[k])
-            size = min(BLOCK, len(ids) - i * BLOCK)
-            at = at[at < size]
-            out[i] = _HEAD.pack(size, low[i], w, len(at)) + packed[k].tobytes() + at.astype(np.uint8).tobytes() + part[k][at].astype("<u4").tobytes()
-    return out
+        bits = np.unpackbits(rest[own].view(np.uint8).reshape(len(own), BLOCK, 4), axis=2, count=w, bitorder="little")
+        rows, size = np.packbits(bits.reshape(len(own), -1), axis=1, bitorder="little").tobytes(), BLOCK * w // 8
+        for k, i in enumerate(own.tolist()):
+            packed[i] = rows[k * size : (k + 1) * size]
+    sizes = [BLOCK] * (n - 1) + [len(ids) - BLOCK * (n - 1)]
+    heads = zip(sizes, low.tolist(), width.tolist(), ends[:-1], ends[1:], packed, strict=True)
+    return [b"".join((_HEAD.pack(size, least, w, e - b), own, at[b:e], values[4 * b : 4 * e])) for size, least, w, b, e, own in heads]
 
 
 def unpack(data: bytes, starts: np.ndarray) -> np.ndarray:
@@ -215,7 +220,8 @@ class WordEncoder(dict):
 
     A dictionary from word to ids that fills itself. A word goes whole through the library's normalizer and pre-tokenizer; those
     of LATIN characters alone, which NFC leaves as they are and whose classes are the same in every version of Unicode, are
-    lower-cased and cut by the same pattern here. Pre-tokens always get their ids from the library's model.
+    lower-cased and cut by the same pattern here, and their bytes get their letters here. Pre-tokens always get their ids from the
+    library's model.
     """
 
     def __init__(self, path: str):
@@ -228,6 +234,8 @@ class WordEncoder(dict):
         # Without added tokens the pattern is empty words', which have no ids.
         self.special = regex.compile("|".join(regex.escape(t.content) for t in whole.get_added_tokens_decoder().values()) or r"\A\Z").search
         self.latin, self.pretokens = regex.compile(LATIN).fullmatch, regex.compile(PRETOKENS).findall
+        self.plain = re.compile(PRETOKENS.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")).findall
+        self.letters = dict(enumerate(byte_letters()))
         self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
@@ -235,23 +243,22 @@ class WordEncoder(dict):
             self.clear()
         if self.special(word):
             made = array.array("I", self.whole(word, add_special_tokens=False).ids).tobytes()
-        elif self.latin(word):
-            known = self.pieces
-            made = b"".join([known.get(piece) or self._piece(piece) for piece in self.pretokens(word.lower())])
+        elif (ascii_only := word.isascii() and word.isprintable()) or self.latin(word):
+            known, cut = self.pieces, self.plain if ascii_only else self.pretokens
+            made = b"".join([known.get(piece) or self._piece(piece) for piece in cut(word.lower())])
         else:
-            made = self._ids(self.normal(word))
+            made = array.array("I", [t.id for piece, _ in self.cut(self.normal(word)) for t in self.merge(piece)]).tobytes()
         self[word] = made
         return made
 
     def _piece(self, piece: str) -> bytes:
+        """Ids of a pre-token; printable ASCII stands for its own bytes."""
         if len(self.pieces) > CACHE:
             self.pieces.clear()
-        made = self.pieces[piece] = self._ids(piece)
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        made = self.pieces[piece] = array.array("I", [t.id for t in self.merge(letters)]).tobytes()
         return made
 
-    def _ids(self, normal: str) -> bytes:
-        return array.array("I", [t.id for piece, _ in self.cut(normal) for t in self.merge(piece)]).tobytes()
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         end, get = struct.pack("<I", END_ID), self.__getitem__
         return [np.frombuffer(b"".join(map(get, t.replace("\n", " ").split(" "))) + end, "<u4") for t in texts]
