@@ -40,24 +40,31 @@ def canonical(text: Column) -> Column:
     """Struct of ``canon``, ``loose`` and ``raw``, arrays of words of one length; text isn't null."""
 
     def both(t: Column) -> Column:
-        c = F.regexp_replace(F.translate(t, "\u0004\u0005", ""), r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+", "\u0001")
-        c = F.regexp_replace(c, r"(?<![\p{L}\p{N}\x01]['’-]?)\p{Lu}\p{Ll}+", "\u0004$0\u0005")
+        c = F.regexp_replace(F.translate(t, "\u0004\u0005", ""), r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+", "\u0001")
+        c = F.regexp_replace(c, r"(?=\p{Lu})(?<![\p{L}\p{N}\x01]['’-]?)\p{Lu}\p{Ll}+", "\u0004$0\u0005")
         c = F.regexp_replace(F.lower(c), r"[0-9](?:[0-9.,:/]*[0-9])?", "\u0002")
-        c = F.regexp_replace(c, rf"(?<=\u0002 ?)(?:{UNITS})(?![\p{{L}}\p{{N}}\x04])", "\u0003")
+        c = F.regexp_replace(c, rf"(\u0002 ?)(?:{UNITS})(?![\p{{L}}\p{{N}}\x04])", "$1\u0003")
         c = F.regexp_replace(c, r"[^\p{L}\p{N} \u0001-\u0005]+", "")
         cut = lambda x: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(x, " ", -1))
         return B.let(c, lambda c: F.struct(cut(F.translate(c, "\u0004\u0005", "")).alias("canon"), cut(F.regexp_replace(c, "\u0004[^\u0005]*\u0005", "\u0001")).alias("loose"), cut(F.lower(t)).alias("raw")))
 
-    return B.let(F.regexp_replace(F.btrim(text, F.lit(B.TRIMMED)), B.SPACE + "+", " "), both)
+    # Single spaces, which most gaps are, stay as they are. Patterns that look back first look for the letter they start with.
+    return B.let(F.regexp_replace(F.btrim(text, F.lit(B.TRIMMED)), rf"[\x09-\x0D]{B.SPACE}*|\x20{B.SPACE}+", " "), both)
 
 
 def with_windows(table: DataFrame, key: str) -> DataFrame:
-    """key, w (canon, loose, raw), hashes of the windows of table's texts; a row for each hash h, the strict one, the loose one or both."""
+    """key, canon, loose, raw of table's texts; a row for each hash h of a window at ``at``, of the strict form (in 1), the loose one (2) or both (3)."""
     hashes = lambda c: B.let(c, lambda c: B.window_hashes(c, WINDOW))
-    both = lambda w: F.struct(w["canon"].alias("canon"), w["loose"].alias("loose"), w["raw"].alias("raw"), F.arrays_zip(hashes(w["canon"]).alias("strict"), hashes(w["loose"]).alias("free")).alias("hashes"))
+
+    def flat(x: Column) -> Column:
+        row = lambda h, at, form: F.struct(h.alias("h"), at.alias("at"), form.cast("int").alias("in"))
+        strict = F.transform(x["strict"], lambda h, i: row(h, i, F.when(F.get(x["free"], i) == h, 3).otherwise(1)))
+        free = F.filter(F.transform(x["free"], lambda h, i: F.when(F.get(x["strict"], i) != h, row(h, i, F.lit(2)))), lambda e: e.isNotNull())
+        return F.concat(strict, free)
+
+    both = lambda w: F.struct(w["canon"].alias("canon"), w["loose"].alias("loose"), w["raw"].alias("raw"), B.let(F.struct(hashes(w["canon"]).alias("strict"), hashes(w["loose"]).alias("free")), flat).alias("hashes"))
     made = table.select(key, B.let(canonical(F.col("text")), both).alias("w"))
-    made = made.select(key, F.col("w.canon").alias("canon"), F.col("w.loose").alias("loose"), F.col("w.raw").alias("raw"), F.posexplode("w.hashes").alias("at", "x"))
-    return made.select("*", F.explode(F.array_distinct(F.array("x.strict", "x.free"))).alias("h"))
+    return made.select(key, F.col("w.canon").alias("canon"), F.col("w.loose").alias("loose"), F.col("w.raw").alias("raw"), F.inline("w.hashes"))
 
 
 def slots(canon: Column, raw: Column) -> Column:
@@ -70,11 +77,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     cut = lambda c: F.slice(c, F.col("at") + 1, F.lit(WINDOW))
     # A row of a window in each form that its hash is the one of.
-    of = lambda form, hashed, c: F.when(F.col("h") == F.col(f"x.{hashed}"), F.struct(F.lit(form).alias("form"), slots(cut(F.col(c)), cut(F.col("raw"))).alias("slots")))
-    forms = F.inline(F.array_compact(F.array(of(0, "strict", "canon"), of(1, "free", "loose"))))
+    of = lambda form, c: F.when(F.col("in").bitwiseAND(form) > 0, F.struct(F.lit(form).alias("form"), slots(cut(F.col(c)), cut(F.col("raw"))).alias("slots")))
+    forms = F.inline(F.array_compact(F.array(of(1, "canon"), of(2, "loose"))))
     bench = with_windows(items, "item_id").where(F.size(F.filter(cut(F.col("canon")), lambda c: (F.length(c) > 0) & ~c.rlike("[\u0001-\u0003]"))) >= LITERALS)
     # A loose window without a literal is met anywhere.
-    bench = bench.where((F.col("h") == F.col("x.strict")) | F.exists(cut(F.col("loose")), lambda c: (F.length(c) > 0) & ~c.rlike("[\u0001-\u0003]")))
+    bench = bench.where((F.col("in") != 2) | F.exists(cut(F.col("loose")), lambda c: (F.length(c) > 0) & ~c.rlike("[\u0001-\u0003]")))
     bench = bench.select("item_id", F.col("at").alias("item_at"), "h", forms).withColumnRenamed("slots", "item_slots")
     bench = B.written(bench.dropDuplicates(["item_id", "item_at", "form"]), "bench_windows")
     hashes = bench.select("h").distinct()
