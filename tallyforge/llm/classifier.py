@@ -2,7 +2,7 @@
 
 Terms are the hashed pairs of adjacent bytes and some shape tokens (capitals, digits, symbols, repeated lines and words). On
 a bounded sample of labelled documents (``SAMPLE`` rows, those of smallest hash) the weights log(1 + count) * idf are factored
-by SVD; the ``RANK`` leading directions and the sample's vectors are broadcast: SAMPLE * RANK + TERMS * RANK floats, 1.6 MB.
+by SVD; the ``RANK`` leading directions and the sample's vectors are broadcast: SAMPLE * RANK + TERMS * RANK floats, 1.2 MB.
 Every document is projected, its exact cosines with all labelled vectors are computed in blocks, and the labels of the
 ``NEIGHBOURS`` nearest vote with weights cosine ** ``SHARP``; a vote of the overall share of label 1 is added. Labelled documents
 that are as near as the last of them (within ``TIE``) share the places that are left in equal parts, so no order of rows decides.
@@ -25,7 +25,7 @@ from tallyforge.llm import _base as B
 
 SAMPLE = 4000
 RANK = 48
-TERMS = 4096
+TERMS = 2048
 NEIGHBOURS = 25
 SHARP = 4
 PRIOR = 0.1
@@ -70,7 +70,8 @@ class Space:
 
     def __init__(self, terms: list[np.ndarray], marks: list[int]):
         self.share = (sum(marks) + 1) / (len(marks) + 2)
-        grid = np.log1p(np.array(terms, np.float32).reshape(len(terms), TERMS))
+        grid = np.array(terms, np.float32).reshape(len(terms), TERMS)
+        np.log1p(grid, out=grid)
         self.idf = (np.log((1 + len(terms)) / (1 + (grid > 0).sum(axis=0))) + 1).astype(np.float32)
         grid *= self.idf
         self.mean = grid.mean(axis=0) if len(terms) else np.zeros(TERMS, np.float32)
@@ -120,8 +121,12 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Space:
             yield pa.RecordBatch.from_arrays([batch.column("l_doc"), pa.array(terms, pa.binary()), batch.column("mark")], ["l_doc", "terms", "mark"])
 
     # Rows that repeat a document count once, with the smallest vector.
-    known = rows.mapInArrow(count, "l_doc long, terms binary, mark int").groupBy("l_doc").agg(F.min("terms").alias("terms"), F.min("mark").alias("mark")).orderBy("l_doc").collect()
-    return Space([np.frombuffer(r.terms, np.float32) for r in known], [r.mark for r in known])
+    known = rows.mapInArrow(count, "l_doc long, terms binary, mark int").groupBy("l_doc").agg(F.min("terms").alias("terms"), F.min("mark").alias("mark")).orderBy("l_doc")
+    terms, votes = [], []
+    for row in known.toLocalIterator():
+        terms.append(np.frombuffer(row.terms, np.float32))
+        votes.append(row.mark)
+    return Space(terms, votes)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
