@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import pricing as P
 from tallyforge.functions import text as T
 from tallyforge.functions.gtin import identifier_candidates, valid_unit
-from tallyforge.operators.relational import asc, bucketed, first_by, ranked_cascade
+from tallyforge.operators.relational import asc, bucketed, first_by, first_met
 
 
 def tier_grid(offers: DataFrame, keys: list[str]) -> DataFrame:
@@ -25,12 +25,19 @@ def tier_grid(offers: DataFrame, keys: list[str]) -> DataFrame:
     return made.join(named, keys).withColumns(slots).withColumns({f"tier{i}_saving": P.tier_saving(F.col("unit_price"), F.col(f"tier{i}_cost")) for i in (2, 3)} | {"tiers_display": P.tiers_display(F.col("tiers"))})
 
 
-def by_key(items: DataFrame, offers: DataFrame, item_key: Column, offer_key: Column) -> DataFrame:
-    """Candidates of one pass: the first offer of each key, met by the items that have it."""
-    held = first_by(offers.withColumn("_key", offer_key), ["_key"], asc("ordinal"))
-    wanted = items.select("item_code", "supplier", item_key.alias("_key")).where("_key is not null")
-    same = held.withColumnRenamed("supplier", "_o_supplier")
-    return wanted.join(same, "_key").where(F.col("_o_supplier").isNull() | (F.col("_o_supplier") == F.col("supplier")) | F.col("supplier").isNull()).drop("_key", "supplier").withColumnRenamed("_o_supplier", "supplier")
+def by_keys(items: DataFrame, offers: DataFrame, offer_keys: dict[str, Column], passes: list[tuple[str, str, Column]], take: list[str]) -> DataFrame:
+    """item_code, pass, key_used, ordinal and the offers' columns: the first offer of each key of each kind, met by the items of each pass.
+
+    passes: name, kind of the offers' key, key of the item. All kinds are keyed and all passes met in one shuffle; an offer without
+    supplier meets any item, and so does an item without one.
+    """
+    kept = [F.coalesce("ordinal", F.lit(2**63 - 1)).alias("_at"), "ordinal", "supplier", *take]
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in offer_keys.items()])).alias("_k")
+    held = offers.select(F.struct(*kept).alias("_o"), kinds).where("_k.key is not null").groupBy("_k").agg(F.min("_o").alias("_o"))
+    asked = F.explode(F.array(*[F.struct(F.lit(i).alias("pass"), F.lit(n).alias("key_used"), F.struct(F.lit(k).alias("kind"), c.alias("key")).alias("k")) for i, (n, k, c) in enumerate(passes)])).alias("_p")
+    wanted = items.select("item_code", "supplier", asked).select("item_code", "supplier", "_p.pass", "_p.key_used", F.col("_p.k").alias("_k")).where("_k.key is not null")
+    free = F.col("_o.supplier").isNull() | F.col("supplier").isNull() | (F.col("_o.supplier") == F.col("supplier"))
+    return wanted.join(held, "_k").where(free).select("item_code", "pass", "key_used", *[F.col(f"_o.{c}").alias(c) for c in ("ordinal", *take)])
 
 
 def by_bridge(items: DataFrame, links: DataFrame, offers: DataFrame) -> DataFrame:
@@ -55,16 +62,12 @@ def cascade(items: DataFrame, offers: DataFrame, links: DataFrame) -> DataFrame:
     take = ["supplier_ref", "gtin", "label", "price", "pack"]
     renamed = offers.select("ordinal", "supplier", *take)
     strict, loose = T.strict_ref(F.col("supplier_ref")), T.loose_ref(F.col("supplier_ref"))
-    maker = T.strict_ref(F.col("manufacturer_ref"))
+    passes = [("strict reference", "strict", strict), ("loose reference", "loose", loose), ("manufacturer reference", "strict", T.strict_ref(F.col("manufacturer_ref")))]
     bare = items.select("item_code", "supplier", "supplier_ref", "manufacturer_ref")
-    passes = [
-        ("strict reference", by_key(bare, renamed, strict, strict)),
-        ("loose reference", by_key(bare, renamed, loose, loose)),
-        ("manufacturer reference", by_key(bare, renamed, maker, strict)),
-        ("barcode", by_bridge(bare, links, renamed)),
-    ]
-    named = [(n, c.select("item_code", "ordinal", *[F.col(x).alias(f"offer_{x}") for x in take])) for n, c in passes]
-    return ranked_cascade(items, "item_code", named, "offer_price", [f"offer_{x}" for x in take])
+    keyed = by_keys(bare, renamed, {"strict": strict, "loose": loose}, passes, take)
+    coded = by_bridge(bare, links, renamed).select("item_code", F.lit(len(passes)).alias("pass"), F.lit("barcode").alias("key_used"), "ordinal", *take)
+    met = keyed.unionByName(coded).select("item_code", "pass", "key_used", F.col("ordinal").cast("long").alias("ordinal"), *[F.col(x).alias(f"offer_{x}") for x in take])
+    return first_met(items, "item_code", met, "offer_price", [f"offer_{x}" for x in take])
 
 
 def with_decisions(matched: DataFrame, decisions: DataFrame, tolerance: float = 0.01) -> DataFrame:

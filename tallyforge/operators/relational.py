@@ -42,15 +42,14 @@ def anti(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
     return df.join(members.select(key).distinct(), key, "left_anti")
 
 
-def ranked_cascade(items: DataFrame, item_id: str, passes: list[tuple[str, DataFrame]], price: str, offer_columns: list[str]) -> DataFrame:
+def first_met(items: DataFrame, item_id: str, met: DataFrame, price: str, offer_columns: list[str]) -> DataFrame:
     """Items with the offer of the first pass that brings a price, and the name of its key.
 
-    Each pass is (name, candidates): item_id, ordinal and the offer's columns, where a key of a pass has kept its first offer.
-    Candidates without a price are dropped then, so that they block no later pass. One shuffle by item and one left join.
+    met: item_id, pass, key_used, ordinal and the offer's columns, where a key of a pass has kept its first offer. Candidates
+    without a price are dropped then, so that they block no later pass. The best one is aggregated before the shuffle by item.
     """
-    tagged = [c.select(item_id, F.lit(i).alias("pass"), F.lit(name).alias("key_used"), F.col("ordinal").cast("long").alias("ordinal"), *offer_columns) for i, (name, c) in enumerate(passes)]
-    every = functools.reduce(DataFrame.unionByName, tagged).where(F.col(price).isNotNull())
-    best = first_by(every, [item_id], asc("pass", "ordinal", *offer_columns)).drop("pass", "ordinal")
+    row = F.struct("pass", F.coalesce("ordinal", F.lit(2**63 - 1)).alias("_at"), *offer_columns, "key_used")
+    best = met.where(F.col(price).isNotNull()).groupBy(item_id).agg(F.min(row).alias("_b")).select(item_id, *[F.col(f"_b.{c}").alias(c) for c in ("key_used", *offer_columns)])
     return items.join(best, item_id, "left")
 
 

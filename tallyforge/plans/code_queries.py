@@ -135,7 +135,21 @@ def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return items, catalogue
 
 
-@query()
+_LABELLED = f"""part2 AS (SELECT p_partkey AS k, p_brand AS supplier, p_name || ' ' || CAST(p_size AS VARCHAR) || ' MODEL' || hex(p_partkey) AS label, 'MODEL' || hex(p_partkey) || ' ' || CAST(p_size + CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE 0 END AS VARCHAR) || ' ' || p_name AS c_label, p_retailprice AS price FROM part)"""
+
+
+def _features_sql(label: str) -> str:
+    words = _W.replace("{c}", label)
+    return f"""list_sort(list_distinct(list_transform(list_filter({words}, lambda w: length(w) >= 3 AND NOT list_contains({list(L.DEFAULT.stop)}, w) AND NOT regexp_full_match(w, '[0-9]+')), lambda w: substr(w, 1, 5)))) AS words,
+ list_distinct(list_transform(regexp_extract_all({label}, '[0-9]+'), lambda n: CAST(CAST(n AS BIGINT) AS VARCHAR))) AS numbers, list_sort(list_distinct(list_filter({words}, lambda w: list_contains({list(L.DEFAULT.discriminant)}, w)))) AS discriminants"""
+
+
+@query(
+    f"""WITH {_LABELLED}, i AS (SELECT k, supplier, {_features_sql("label")} FROM part2), c AS (SELECT k, supplier, c_label, {_features_sql("c_label")} FROM part2),
+ met AS (SELECT i.k, c.k AS ordinal, c.c_label, len(list_intersect(i.words, c.words)) / CAST(len(i.words) AS DOUBLE) AS score FROM i JOIN c ON i.supplier = c.supplier WHERE len(i.words) >= 2 AND i.discriminants = c.discriminants AND (len(i.numbers) = 0 OR len(c.numbers) = 0 OR len(list_intersect(i.numbers, c.numbers)) > 0)),
+ best AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, length(c_label), ordinal) AS rn FROM met WHERE score >= 0.6)
+ SELECT CAST(k AS VARCHAR) AS item_code, c_label, CASE WHEN n_items = 1 THEN 'C' || CAST(ordinal AS VARCHAR) END AS gtin, score, n_items FROM (SELECT *, count(*) OVER (PARTITION BY ordinal) AS n_items FROM best WHERE rn = 1)"""
+)
 def label_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, catalogue = _labelled(spark, sf_dir)
     return M.without_shared(M.best_by_label(items, M.indexed(catalogue))).select("item_code", "c_label", "gtin", "score", "n_items")
@@ -163,7 +177,10 @@ def model_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.by_model(items, catalogue).select("item_code", "rank", "o_label", "n_common", "gap")
 
 
-@query()
+@query(
+    f"""WITH {_LABELLED}, w AS (SELECT k, unnest(list_distinct(list_filter({_W.replace("{c}", "label")}, lambda w: length(w) >= 3 AND NOT regexp_full_match(w, '[0-9]+')))) AS word FROM part2),
+ f AS (SELECT word, count(DISTINCT k) AS n FROM w GROUP BY 1) SELECT CAST(k AS VARCHAR) AS item_code, CAST(rank AS INT) AS rank, word FROM (SELECT k, word, row_number() OVER (PARTITION BY k ORDER BY n, length(word) DESC, word) AS rank FROM w JOIN f USING (word)) WHERE rank <= 3"""
+)
 def query_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, _ = _labelled(spark, sf_dir)
     return M.words_to_query(items, M.word_frequencies(items))
@@ -187,17 +204,6 @@ def value_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.islands(V.table(spark, sf_dir, "events"), ["user_id"], ["value", "event_id"], "value", 6.0).select("event_id", "island")
 
 
-@query(
-    """SELECT event_id, near_id FROM (SELECT a.event_id, b.event_id AS near_id, row_number() OVER (PARTITION BY a.event_id ORDER BY abs(a.value - b.value), b.event_id) AS rn FROM events a JOIN events b ON a.user_id = b.user_id AND abs(a.value - b.value) <= 8
- WHERE a.event_id % 10 = 0 AND b.event_id % 10 = 1) WHERE rn = 1"""
-)
-def nearest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = V.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    left = ev.where("event_id % 10 = 0")
-    right = ev.where("event_id % 10 = 1").select(F.col("event_id").alias("near_id"), "user_id", F.col("value").alias("near_value"))
-    return rel.nearest(left, right, ["user_id"], "value", "near_value", 8.0, [F.col("near_id").asc()]).select("event_id", "near_id")
-
-
 @query(
     """SELECT event_id, near_id FROM (SELECT a.event_id, b.event_id AS near_id, row_number() OVER (PARTITION BY a.event_id ORDER BY abs(a.value - b.value), b.event_id) AS rn FROM events a JOIN events b ON a.user_id = b.user_id AND abs(a.value - b.value) <= 8
  WHERE a.event_id <> b.event_id) WHERE rn = 1"""
@@ -253,12 +259,12 @@ def registry_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.registry_answers(V.gtins(spark, sf_dir).select(F.col("item_code").alias("query"), body.alias("body"))).select("query", "status", F.col("total").cast("int").alias("total"), "first_code")
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS key, CAST(count(*) AS INT) AS attempts, arg_max(event_type, ts) AS status FROM events GROUP BY 1 HAVING count(*) = count(DISTINCT ts)")
+@query("SELECT CAST(user_id AS VARCHAR) AS key, CAST(count(*) AS INT) AS attempts, arg_max(event_type, (ts, event_id)) AS status FROM events GROUP BY 1")
 def collector_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state after two batches of answers; users with two answers at one time are left to the tests."""
-    ev = V.table(spark, sf_dir, "events")
-    clear = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("a"), F.count_distinct("ts").alias("b")).where("a = b").select("user_id")
-    answers = ev.join(clear, "user_id", "left_semi").select(F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("status"), F.col("ts").alias("answered_on"), F.lit(None).cast("string").alias("gtin"))
+    """The state after two batches of answers. Answers of one time are told apart by a microsecond for each of their rank by event."""
+    tie = F.row_number().over(Window.partitionBy("user_id", "ts").orderBy("event_id")) - 1
+    ev = V.table(spark, sf_dir, "events").withColumn("at", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + tie))
+    answers = ev.select(F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("status"), F.col("at").alias("answered_on"), F.lit(None).cast("string").alias("gtin"))
     cut = F.lit("2024-01-15").cast("timestamp")
     state = collectors.merged_state(spark.createDataFrame([], collectors.STATE), answers.where(F.col("answered_on") < cut))
     return collectors.merged_state(state, answers.where(F.col("answered_on") >= cut)).select("key", "attempts", "status")
