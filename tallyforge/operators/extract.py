@@ -170,7 +170,8 @@ def price_edge(words: DataFrame, left: float = 45, right: float = 10) -> DataFra
 
 def zones(banded: DataFrame, edges: DataFrame, label_x: float = 70, isolated_x: float = 230) -> DataFrame:
     """Reference, label and amount of each band by the words' place; a lone ``x`` far right is dropped, amounts are glued (EX18, EX20, EX23)."""
-    words = banded.join(F.broadcast(edges), "file").where(~((F.lower("text") == "x") & (F.col("x0") >= isolated_x)))
+    # One small row a file: the planner broadcasts them if they are few, and adaptive execution splits a large file otherwise.
+    words = banded.join(edges, "file").where(~((F.lower("text") == "x") & (F.col("x0") >= isolated_x)))
     zone = F.when(F.col("x0").between(F.col("price_from"), F.col("price_to")), "price").when(F.col("x0") < label_x, "ref").otherwise("label")
     text = lambda z, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_z") == z, F.struct("x0", "text")))), lambda s: s["text"]), sep)
     rows = words.withColumn("_z", zone).groupBy("file", "page", "band").agg(F.min("top").alias("top"), text("ref", " ").alias("ref"), text("label", " ").alias("label"), text("price", "").alias("_amount"))

@@ -9,6 +9,7 @@ from tallyforge.functions import pricing as P
 from tallyforge.functions import text as T
 from tallyforge.functions.gtin import identifier_candidates, valid_unit
 from tallyforge.operators.relational import asc, bucketed, first_by, first_met
+from tallyforge.sources.readers import write_version
 
 
 def tier_grid(offers: DataFrame, keys: list[str]) -> DataFrame:
@@ -143,6 +144,24 @@ def to_settle(rows: DataFrame) -> DataFrame:
     return out.where(F.col("signal_ratio").isNotNull() & (F.coalesce("divisor", F.lit(1.0)) == 1))
 
 
+def write_to_settle(rows: DataFrame, folder: str) -> int:
+    """Writes the cases to settle as a numbered table; its version (PK12)."""
+    return write_version(to_settle(rows), folder, "to_settle")
+
+
+def owner_bridge(items: DataFrame, owner: DataFrame) -> DataFrame:
+    """Keys of the item master for items that the price owner has validated: item_code, key, price."""
+    priced = first_by(owner.where("price > 0").withColumn("item_code", T.item_code(F.col("item_code"))), ["item_code"], asc("ordinal", "price")).select("item_code", "price")
+    keys = items.select("item_code", F.coalesce(T.strict_ref(F.col("supplier_ref")), T.strict_ref(F.col("manufacturer_ref"))).alias("key"))
+    return keys.where("key is not null").join(priced, "item_code")
+
+
+def fanned_out(results: DataFrame, items: DataFrame) -> DataFrame:
+    """Each registry result for every item that shares its reference."""
+    found = results.withColumn("_key", T.strict_ref(F.col("ref"))).where("_key is not null")
+    return items.select("item_code", T.strict_ref(F.col("supplier_ref")).alias("_key")).join(found, "_key").drop("_key")
+
+
 def recurrence(rows: DataFrame, keys: list[str], least: int = 5, gap: float = 0.15) -> DataFrame:
     """Rows with the count of their rounded ratio in the group, and whether it is a systematic gap (PK15)."""
     rounded = rows.withColumn("ratio_2dp", F.floor(F.col("ratio") * 100 + 0.5000001) / 100)

@@ -25,9 +25,16 @@ PROBLEMS = (
 
 
 def _filled(c: str) -> Column:
+    """Whether a column has a text (DQ6)."""
     return F.coalesce(F.trim(F.col(c)) != "", F.lit(False))
 
 
+def tiers_wrong(offers: DataFrame) -> Column:
+    """Whether the tiers of a row contradict its price or each other; never null (DQ3)."""
+    faults = P.tier_faults(*[F.col(c) for c in ("unit_cost", "tier2_qty", "tier2_cost", "tier3_qty", "tier3_cost")])
+    return F.coalesce(F.size(faults) > 0, F.lit(False))
+
+
 def with_counts(offers: DataFrame) -> DataFrame:
     """Offers with the size of their reference and barcode groups and the distinct prices and labels in them (DQ5)."""
     refs = offers.where("supplier_ref is not null").groupBy("supplier", "supplier_ref").agg(F.count(F.lit(1)).alias("n_ref"), F.count_distinct("unit_cost").alias("n_ref_prices"))
@@ -37,12 +44,11 @@ def with_counts(offers: DataFrame) -> DataFrame:
 
 def faults(counted: DataFrame) -> Column:
     """Array of the problems of a row of with_counts."""
-    tiers = P.tier_faults(F.col("unit_cost"), F.col("tier2_qty"), F.col("tier2_cost"), F.col("tier3_qty"), F.col("tier3_cost"))
     tests = {
         "price missing": F.col("unit_cost").isNull(),
         "price not positive": F.col("unit_cost") <= 0,
         "price incoherent": ~F.col("cost_coherent"),
-        "tiers inconsistent": F.size(tiers) > 0,
+        "tiers inconsistent": tiers_wrong(counted),
         "duplicate reference, prices differ": (F.col("n_ref") > 1) & (F.col("n_ref_prices") > 1),
         "duplicate reference": (F.col("n_ref") > 1) & (F.col("n_ref_prices") <= 1),
         "barcode invalid": _filled("gtin_unit") & ~valid_unit(F.col("gtin_unit")),
@@ -90,8 +96,7 @@ def by_vat(offers: DataFrame) -> DataFrame:
 
 def severity(offers: DataFrame) -> DataFrame:
     """What a row would be highlighted for, the worst only (DQ7)."""
-    tiers = F.size(P.tier_faults(F.col("unit_cost"), F.col("tier2_qty"), F.col("tier2_cost"), F.col("tier3_qty"), F.col("tier3_cost"))) > 0
-    rule = F.when(F.col("unit_cost").isNull() | (F.col("unit_cost") <= 0), "blocking").when(F.coalesce(~F.col("cost_coherent"), F.lit(False)), "incoherent").when(F.coalesce(tiers, F.lit(False)), "tiers").when(~_filled("gtin_unit"), "barcode").otherwise("none")
+    rule = F.when(F.col("unit_cost").isNull() | (F.col("unit_cost") <= 0), "blocking").when(F.coalesce(~F.col("cost_coherent"), F.lit(False)), "incoherent").when(tiers_wrong(offers), "tiers").when(~_filled("gtin_unit"), "barcode").otherwise("none")
     return offers.withColumn("highlight", rule)
 
 

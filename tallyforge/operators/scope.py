@@ -137,6 +137,26 @@ def current_price(prices: DataFrame) -> DataFrame:
     return first_by(prices, ["item_code"], asc("ordinal", "price"))
 
 
+def with_current_price(rows: DataFrame, prices: DataFrame) -> DataFrame:
+    """Rows with the current price of their item; codes meet without spaces and the tail of a detour through doubles."""
+    known = current_price(prices.withColumn("item_code", T.item_code(F.col("item_code")))).select(F.col("item_code").alias("_code"), F.col("price").alias("current_price"))
+    return rows.join(known, T.item_code(F.col("item_code")) == F.col("_code"), "left").drop("_code")
+
+
+def ordered_by_internal(scope: DataFrame, orders: DataFrame) -> DataFrame:
+    """Scope with the last order of its internal reference; missing references meet too and are then turned away."""
+    last = first_by(orders.withColumn("_key", F.coalesce("internal_ref", F.lit(""))), ["_key"], [F.col("order_date").desc_nulls_last(), F.col("ordinal").desc(), F.col("supplier").asc_nulls_last()])
+    last = last.select(F.col("internal_ref").alias("_ref"), F.col("supplier").alias("_supplier"), F.col("order_date").alias("_date"))
+    met = scope.join(last, F.col("internal_ref").eqNullSafe(F.col("_ref")), "left")
+    known = F.col("internal_ref").isNotNull()
+    return met.withColumns({"ordered_from": F.when(known, F.col("_supplier")), "ordered_on": F.when(known, F.col("_date"))}).drop("_ref", "_supplier", "_date")
+
+
+def mapped(rows: DataFrame, table: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """Rows with the value of their key in a lookup table, whose last row of a key counts."""
+    return rows.join(table.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(value, F.struct(order, value)).alias(value)), key, "left")
+
+
 def to_query(register: DataFrame) -> DataFrame:
     """Items without a code whose reference is worth a query, active first (SP23, SP24)."""
     return register.where(F.col("gtin").isNull() & T.queryable_ref(F.col("ref"), F.coalesce("ref_origin", F.lit("supplier")))).orderBy(F.col("active").desc_nulls_last(), "item_code")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.plans import code_queries, more_queries, price_queries  # noqa: F401 - all three add to one table
+from tallyforge.plans import code_queries, coverage_queries, more_queries, price_queries  # noqa: F401 - all add to one table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

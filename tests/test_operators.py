@@ -139,3 +139,45 @@ def test_nearest_over_all_events(spark):
             want[i] = min(near)[1]
     rows = registry.queries()["nearest_events"](spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == len(want) and {r.event_id: r.near_id for r in rows} == want
+
+
+def test_sinks(spark, tmp_path):
+    """Numbered tables of cases to settle, of classes and of sheets (PK12, RC7, CL8)."""
+    from tallyforge.operators import offers as O
+    from tallyforge.operators import reconcile as R
+    from tallyforge.sources import readers
+
+    cases = spark.createDataFrame([("a", 6.0, "box of 6", "soap"), ("b", 1.01, "soap", "soap")], "item_code string, ratio double, offer_label string, item_label string").selectExpr("*", "cast(null as double) as divisor")
+    assert [O.write_to_settle(cases, f"{tmp_path}/a") for _ in range(2)] == [1, 2]
+    assert [r.item_code for r in readers.latest_version(spark, f"{tmp_path}/a", "to_settle").collect()] == ["a"]
+    rows = spark.createDataFrame([("x", "S", "AGREE", 1.0, 1.0, 1.0), ("y", "S", "ONLY_OURS", None, 2.0, None)], "item_code string, supplier string, price_class string, owner_price double, our_price double, ratio double")
+    versions = R.write_views(rows, f"{tmp_path}/b")
+    assert versions == {"agree": 1, "only_ours": 1, "suppliers": 1}
+    assert "owner_price" not in readers.latest_version(spark, f"{tmp_path}/b", "only_ours").columns
+    kinds = spark.createDataFrame([(str(i), k) for i, k in enumerate(["dropped", "annotated", "", "no_catalogue", ""])], "item_code string, set_aside string")
+    assert set(R.write_sheets(kinds, f"{tmp_path}/c", ["item_code", "set_aside", "note"]).values()) == {1}
+    back = readers.latest_version(spark, f"{tmp_path}/c", "open")
+    assert back.columns == ["item_code", "set_aside", "note"] and back.count() == 2
+
+
+def test_lists_and_frozen_scopes(spark, tmp_path):
+    """Lists with either separator, populations of a fixed size, tables replaced by key (IO8, IO9, SP7, SP8, IO20)."""
+    import pytest
+
+    from tallyforge.operators import scope as S
+    from tallyforge.sources import readers
+
+    for name, sep in (("a.csv", ";"), ("b.csv", ",")):
+        (tmp_path / name).write_text(f"item{sep}variant\n007{sep}1\n008{sep}2\n", encoding="utf-8")
+        got = readers.frozen_list(spark, str(tmp_path / name), ["item", "variant"])
+        assert sorted((r.item, r.variant) for r in got.collect()) == [("007", "1"), ("008", "2")]
+    rows = spark.range(5).selectExpr("cast(id as string) as item_code")
+    assert S.frozen(rows, f"{tmp_path}/scope", 5).count() == 5
+    with pytest.raises(ValueError):
+        S.load_frozen(spark, f"{tmp_path}/scope", 4)
+    with pytest.raises(ValueError):
+        S.frozen(rows, f"{tmp_path}/other", 6)
+    first = spark.createDataFrame([("S1", 1), ("S2", 2)], "supplier string, n int")
+    readers.replace_partitions(first, f"{tmp_path}/index", "supplier")
+    readers.replace_partitions(spark.createDataFrame([("S2", 3), ("S2", 4)], "supplier string, n int"), f"{tmp_path}/index", "supplier")
+    assert sorted((r.supplier, r.n) for r in spark.read.parquet(f"{tmp_path}/index").collect()) == [("S1", 1), ("S2", 3), ("S2", 4)]
