@@ -31,13 +31,13 @@ WINDOW = 5
 LITERALS = 3
 COVER = 0.75
 UNITS = "%|kg|mg|g|km|cm|mm|m|mi|ft|lb|lbs|oz|l|ml|h|hr|hrs|min|s|ms|hours?|minutes?|seconds?|days?|weeks?|months?|years?|dollars?|cents?|euros?|usd|eur|meters?|metres?|miles?|feet|inches|degrees?|percent"
-#: Rows of benchmark windows up to which their hashes are broadcast: 2,000,000 longs, some 32 MB.
+#: Rows of benchmark windows, and of documents that hold one, up to which they are broadcast: 2,000,000 longs, some 32 MB.
 BROADCAST_WINDOWS = 2_000_000
 _EDGE = ".,;:!?()[]\"'"
 
 
-def canonical(text: Column) -> Column:
-    """Struct of ``canon``, ``loose`` and ``raw``, arrays of words of one length; text isn't null."""
+def canonical(text: Column, raw: bool = True) -> Column:
+    """Struct of ``canon``, ``loose`` and, if asked for, ``raw``, arrays of words of one length; text isn't null."""
 
     def both(t: Column) -> Column:
         c = F.regexp_replace(F.translate(t, "\u0004\u0005", ""), r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+", "\u0001")
@@ -46,15 +46,27 @@ def canonical(text: Column) -> Column:
         c = F.regexp_replace(c, rf"(\u0002 ?)(?:{UNITS})(?![\p{{L}}\p{{N}}\x04])", "$1\u0003")
         c = F.regexp_replace(c, r"[^\p{L}\p{N} \u0001-\u0005]+", "")
         cut = lambda x: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(x, " ", -1))
-        return B.let(c, lambda c: F.struct(cut(F.translate(c, "\u0004\u0005", "")).alias("canon"), cut(F.regexp_replace(c, "\u0004[^\u0005]*\u0005", "\u0001")).alias("loose"), cut(F.lower(t)).alias("raw")))
+        read = [cut(F.lower(t)).alias("raw")] if raw else []
+        return B.let(c, lambda c: F.struct(cut(F.translate(c, "\u0004\u0005", "")).alias("canon"), cut(F.regexp_replace(c, "\u0004[^\u0005]*\u0005", "\u0001")).alias("loose"), *read))
 
     # Single spaces, which most gaps are, stay as they are. Patterns that look back first look for the letter they start with.
     return B.let(F.regexp_replace(F.btrim(text, F.lit(B.TRIMMED)), rf"[\x09-\x0D]{B.SPACE}*|\x20{B.SPACE}+", " "), both)
 
 
+def _hashes(words: Column) -> Column:
+    return B.let(words, lambda w: B.window_hashes(w, WINDOW))
+
+
+def holders(plain: DataFrame, hashes: DataFrame) -> DataFrame:
+    """doc_id of the texts that hold a window of ``hashes`` in either form; texts aren't carried along."""
+    differ = lambda x: F.concat(x["strict"], F.filter(x["free"], lambda h, i: F.get(x["strict"], i) != h))
+    both = lambda w: B.let(F.struct(_hashes(w["canon"]).alias("strict"), _hashes(w["loose"]).alias("free")), differ)
+    held = plain.select("doc_id", F.explode(B.let(canonical(F.col("text"), raw=False), both)).alias("h"))
+    return B.written(held.join(hashes, "h", "left_semi").select("doc_id").distinct(), "holders")
+
+
 def with_windows(table: DataFrame, key: str) -> DataFrame:
     """key, canon, loose, raw of table's texts; a row for each hash h of a window at ``at``, of the strict form (in 1), the loose one (2) or both (3)."""
-    hashes = lambda c: B.let(c, lambda c: B.window_hashes(c, WINDOW))
 
     def flat(x: Column) -> Column:
         row = lambda h, at, form: F.struct(h.alias("h"), at.alias("at"), form.cast("int").alias("in"))
@@ -62,7 +74,7 @@ def with_windows(table: DataFrame, key: str) -> DataFrame:
         free = F.filter(F.transform(x["free"], lambda h, i: F.when(F.get(x["strict"], i) != h, row(h, i, F.lit(2)))), lambda e: e.isNotNull())
         return F.concat(strict, free)
 
-    both = lambda w: F.struct(w["canon"].alias("canon"), w["loose"].alias("loose"), w["raw"].alias("raw"), B.let(F.struct(hashes(w["canon"]).alias("strict"), hashes(w["loose"]).alias("free")), flat).alias("hashes"))
+    both = lambda w: F.struct(w["canon"].alias("canon"), w["loose"].alias("loose"), w["raw"].alias("raw"), B.let(F.struct(_hashes(w["canon"]).alias("strict"), _hashes(w["loose"]).alias("free")), flat).alias("hashes"))
     made = table.select(key, B.let(canonical(F.col("text")), both).alias("w"))
     return made.select(key, F.col("w.canon").alias("canon"), F.col("w.loose").alias("loose"), F.col("w.raw").alias("raw"), F.inline("w.hashes"))
 
@@ -86,7 +98,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bench = B.written(bench.dropDuplicates(["item_id", "item_at", "form"]), "bench_windows")
     hashes = bench.select("h").distinct()
     hashes = F.broadcast(hashes) if bench.count() <= BROADCAST_WINDOWS else hashes
-    seen = with_windows(B.texts(docs), "doc_id").join(hashes, "h", "left_semi")
+    # Most texts hold no window of an item: only those that do are cut into words with their values.
+    ids = holders(B.texts(docs), hashes)
+    ids = ids.select(F.col("doc_id").alias("d_held"))
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_WINDOWS else ids
+    held = B.texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("d_held")), "left_semi")
+    seen = with_windows(held, "doc_id").join(hashes, "h", "left_semi")
     seen = B.written(seen.select("doc_id", "at", "h", forms).withColumnRenamed("slots", "doc_slots"), "seen_windows")
     # Windows of an item by how many of the documents' windows they meet, in either form.
     often = seen.groupBy("h", "form").agg(F.count(F.lit(1)).alias("n_met"))
