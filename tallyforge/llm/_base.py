@@ -78,15 +78,42 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     with shuffles_freed(spark):
         df.write.parquet(path)
+    made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Paths of the tables that ``written`` made and nothing has dropped yet, in order.
+made: list[str] = []
+
+
+@contextlib.contextmanager
+def tidied(spark: SparkSession):
+    """Yields a function that keeps a table; the other tables made inside are deleted at the end, so nothing may read them after."""
+    before, kept = len(made), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.update(made[before:][-1:])
+        return df
+
+    try:
+        yield keep
+    finally:
+        own = made[before:]
+        made[before:] = [path for path in own if path in kept]
+        for path in set(own) - kept:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def drop(df: DataFrame) -> None:
     """Deletes the files of a table made by ``written`` that nothing reads any more."""
     spark = df.sparkSession
     for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, parent)
 
 
 def has(df: DataFrame) -> bool:
