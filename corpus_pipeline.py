@@ -1,8 +1,13 @@
 """Documents from raw to token counts: quality rules, near-duplicate removal, benchmark decontamination, PII, BPE.
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame; run() applies them to ``documents``, each over the written result
-of the one before. ORACLE_SQL is None: byte-pair merges and MinHash components aren't SQL; tests hold the rows against a
+of the one before. The tables that a stage needs are deleted when its result is written, those of the stages when the fourth one
+is, which the last one reads. ORACLE_SQL is None: byte-pair merges and MinHash components aren't SQL; tests hold the rows against a
 brute-force version.
+
+Null and empty texts fail the base quality rule, so stage 1 removes them; texts of any length are processed whole; rows that
+repeat a doc_id are judged each by itself in stage 1, and stay or go together from stage 2 on; other columns are carried along
+whatever their names, and an empty table gives an empty one at each stage.
 """
 
 from __future__ import annotations
@@ -40,6 +45,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = B.table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = B.written(stage(spark, docs, sf_dir), name)
+    with B.tidied(spark) as keep:
+        for name, stage in STAGES[:-1]:
+            with B.tidied(spark) as keep_stage:
+                docs = keep_stage(B.written(stage(spark, docs, sf_dir), name))
+        keep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
