@@ -36,6 +36,8 @@ RULES = {
     "mean_word_chars": [60.0, 40.0, 30.0, 25.0, 22.0, 20.0, 18.0, 17.0, 16.0, 15.0, 14.5, 14.0, 13.0, 12.0],
 }
 STEPS = 14
+#: Labelled documents up to which their ids are broadcast: 2,000,000 longs, some 32 MB.
+BROADCAST_LABELS = 2_000_000
 STRATA = ("en", "fr", "de", "es")
 POOL = "other"
 RISK = 0.06
@@ -114,6 +116,12 @@ def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return summed
 
 
+def good_labels(labels: DataFrame) -> DataFrame:
+    """q_doc of the documents that are labelled good."""
+    marks = labels.select(F.col("doc_id").cast("long").alias("q_doc"), F.col("quality").cast("int").alias("q_mark")).where("q_doc is not null and q_mark is not null")
+    return marks.groupBy("q_doc").agg(F.min("q_mark").alias("q_mark")).where("q_mark = 1").select("q_doc")
+
+
 def fewest(risk: float, error: float) -> int:
     """Good labels that the test needs to pass when none of them is rejected."""
     return math.ceil(math.log(error / (len(STRATA) + 1)) / math.log(1 - risk))
@@ -121,8 +129,7 @@ def fewest(risk: float, error: float) -> int:
 
 def thresholds(features: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """q_stratum, a row for each, and q_cut, the last safe setting (null: none is)."""
-    marks = labels.select(F.col("doc_id").cast("long").alias("q_doc"), F.col("quality").cast("int").alias("q_mark")).where("q_doc is not null and q_mark is not null").groupBy("q_doc").agg(F.min("q_mark").alias("q_mark"))
-    good = features.where(~F.col("q_base_failed")).join(marks.where("q_mark = 1"), F.col("doc_id") == F.col("q_doc"), "left_semi")
+    good = features.where(~F.col("q_base_failed")).join(good_labels(labels), F.col("doc_id") == F.col("q_doc"), "left_semi")
     hits = [F.sum((F.col("q_step") <= i).cast("long")).alias(f"k{i}") for i in range(STEPS)]
     told = good.groupBy(stratum(F.col("lang")).alias("q_of")).agg(F.count(F.lit(1)).alias("q_n"), *hits)
     every = labels.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x) for x in (*STRATA, POOL)])).alias("q_stratum"))
@@ -150,9 +157,13 @@ def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns. They are written once beside their counts, and never shuffled."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_row"), "doc_id", "lang", "text")
-    made = counted(row, "q_row", "doc_id", "lang").select("q_row", "doc_id", "lang", "q_base_failed", "q_step")
-    features = B.written(made, "features")
-    cuts = B.written(thresholds(features, labels), "cutoffs")
-    return judged(features, cuts).where("q_kept").select("q_row.*")
+    """The documents that the rules keep, with all their columns.
+
+    Only documents that are labelled good are counted twice, for the thresholds and to be judged; no text is written or, while
+    the labels are few enough to be broadcast, shuffled."""
+    known = B.written(good_labels(labels), "good_labels")
+    known = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
+    held = docs.select("doc_id", "lang", "text").join(known, F.col("doc_id").cast("long") == F.col("q_doc"), "left_semi")
+    cuts = B.written(thresholds(counted(held, "doc_id", "lang"), labels), "cutoffs")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_row"), "lang", "text")
+    return judged(counted(row, "q_row", "lang"), cuts).where("q_kept").select("q_row.*")
