@@ -72,6 +72,25 @@ def test_deep_regions(spark, monkeypatch):
     assert got == near(items)
 
 
+def test_recall_in_a_crowded_region(spark):
+    """120 pairs just above and below 0.75 among 240 texts that share most of one boilerplate: components are those of all pairs."""
+    rnd = random.Random(31)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(7))
+    base, items = [word() for _ in range(100)], []
+    for _ in range(120):
+        own = [*base, *[word() for _ in range(40)]]
+        other = list(own)
+        for at in rnd.sample(range(100, 139), rnd.choice([1, 2, 3, 4])):
+            other[at] = word()
+        items += [" ".join(own), " ".join(other)]
+    items = list(enumerate(items))
+    want = near(items)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in M.linked(frame(spark, items)).collect()}
+    linked = [d for d, (_, c) in want.items() if c != d]
+    found = sum(got[d][1] == want[d][1] for d in linked) / len(linked)
+    assert len(items) > 2 * M.REGION and 40 < len(linked) and found == 1.0 and got == want
+
+
 def test_pairs_of_deepened_regions(spark, monkeypatch):
     """A near pair whose regions are all deepened and part below depth FIRST is found by the trees of crowded classes."""
     rnd = random.Random(4)
