@@ -14,6 +14,7 @@ from tallyforge.operators import register as R
 from tallyforge.operators import relational as rel
 from tallyforge.plans import views as V
 from tallyforge.plans.price_queries import query as _query
+from tallyforge.plans.price_queries import round_pack_sql
 from tallyforge.plans.views import GTINS, ITEMS, READ_CODES
 from tallyforge.sources import readers
 from tallyforge.streaming import collectors
@@ -96,23 +97,36 @@ def shared_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.duplicates(rows).groupBy("gtin").agg(F.count_distinct("item_code").alias("n_items"))
 
 
-@query()
+_W = "list_filter(string_split(trim(regexp_replace(upper({c}), '[^A-Z0-9]+', ' ', 'g')), ' '), lambda w: w <> '')"
+_BASE = f"nullif(array_to_string(list_filter({_W.replace('{c}', 'label')}, lambda w: NOT list_contains({list(L.DEFAULT.discriminant + L.DEFAULT.letters)}, w) AND NOT regexp_full_match(w, 'T?[0-9]+')), ' '), '')"
+
+
+def _shared_sql(rows: str) -> str:
+    """Two relations over ``rows`` (item_code, label, supplier_ref, house, gtin): the last one, shared, has a verdict for each code."""
+    return f"""based AS (SELECT *, {_BASE} AS base, arg_min(label, item_code) OVER (PARTITION BY gtin) AS first FROM {rows} WHERE gtin IS NOT NULL),
+ shared AS (SELECT *, CASE WHEN n_refs = 1 THEN 'duplicates' WHEN n_houses = 1 THEN 'same company' WHEN n_bases = 1 THEN 'one base label' WHEN likeness >= 0.55e0 THEN 'alike' ELSE 'ambiguous' END AS shared_verdict FROM
+ (SELECT gtin, count(DISTINCT item_code) AS n_items, count(DISTINCT supplier_ref) AS n_refs, count(DISTINCT house) AS n_houses, count(DISTINCT base) AS n_bases,
+ min(1 - levenshtein(upper(label), upper(first)) / CAST(greatest(length(label), length(first), 1) AS DOUBLE)) AS likeness FROM based GROUP BY 1) WHERE n_items > 1)"""
+
+
+@query(f"WITH {GTINS}, {ITEMS}, rows AS (SELECT i.item_code, label, supplier_ref, CASE WHEN family IN ('Brand#11', 'Brand#12') THEN 'House' ELSE family END AS house, gtin FROM items i JOIN gtins g USING (item_code)), {_shared_sql('rows')} SELECT * FROM shared")
 def shared_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.items(spark, sf_dir).select("item_code", "label", "supplier_ref", F.col("family").alias("supplier")).join(V.gtins(spark, sf_dir).select("item_code", "gtin"), "item_code")
     aliases = spark.createDataFrame([("Brand#11", "House"), ("Brand#12", "House")], "supplier string, alias string")
     return R.shared_verdicts(rows, aliases)
 
 
-@query()
+@query(
+    f"""WITH {_BEST}, {ITEMS}, reg AS (SELECT i.item_code, i.k, i.label, i.supplier_ref, i.family AS house, gtin, source, {_CONF} AS confidence FROM items i LEFT JOIN best USING (item_code)), {_shared_sql('reg')},
+ marks AS (SELECT gtin, shared_verdict, gtin IS NOT NULL AND shared_verdict IS DISTINCT FROM 'ambiguous' AS usable, CASE WHEN source = 'registry' AND k % 2 <> 0 THEN 'to verify' ELSE confidence END AS confidence FROM reg LEFT JOIN shared USING (gtin))
+ SELECT count(*) AS n_items, count(gtin) AS n_codes, count(*) FILTER (WHERE usable) AS n_usable, count(DISTINCT gtin) AS n_distinct_codes, count(*) FILTER (WHERE usable AND confidence = 'sure') AS n_sure, count(*) FILTER (WHERE shared_verdict = 'ambiguous') AS n_ambiguous FROM marks"""
+)
 def register_notice(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg, _ = registered(spark, sf_dir)
     aliases = spark.createDataFrame([], "supplier string, alias string")
     return R.notice(R.marked(reg, R.shared_verdicts(reg, aliases), reg.where("k % 2 = 0")))
 
 
-_W = "list_filter(string_split(trim(regexp_replace(upper({c}), '[^A-Z0-9]+', ' ', 'g')), ' '), lambda w: w <> '')"
-
-
 @query(f"""SELECT item_code, array_to_string(list_sort(list_distinct(list_transform(list_filter({_W.replace("{c}", "label")}, lambda w: length(w) >= 3 AND NOT list_contains({list(L.DEFAULT.stop)}, w) AND NOT regexp_full_match(w, '[0-9]+')), lambda w: substr(w, 1, 5)))), ' ') AS words, array_to_string(list_sort(list_distinct(regexp_extract_all(label, '[0-9]+'))), ' ') AS numbers,
  array_to_string(list_sort(list_distinct(list_filter({_W.replace("{c}", "label")}, lambda w: list_contains({list(L.DEFAULT.discriminant)}, w)))), ' ') AS discriminants FROM (SELECT CAST(p_partkey AS VARCHAR) AS item_code, p_name || ' ' || CAST(p_size AS VARCHAR) AS label FROM part)""")
 def label_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +169,27 @@ def label_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.without_shared(M.best_by_label(items, M.indexed(catalogue))).select("item_code", "c_label", "gtin", "score", "n_items")
 
 
-@query()
+#: Best candidate of each item by the likeness of models: the words but for numbers, stop words and discriminants. Both sides start
+#: with the common words, so only their ends are compared character by character, in the bits of a long.
+_MODEL = f"list_filter({_W}, lambda w: NOT list_contains({list(L.DEFAULT.stop + L.DEFAULT.discriminant)}, w) AND NOT regexp_full_match(w, '[0-9]+'))"
+_BIT = "(CAST(1 AS BIGINT) << CAST(i - 1 AS BIGINT))"
+_BEST_MODEL = f"""{_LABELLED}, i AS (SELECT k, supplier, list_distinct({_MODEL.replace("{c}", "label")}) AS model, {_features_sql("label")} FROM part2), c AS (SELECT k, supplier, c_label, list_distinct({_MODEL.replace("{c}", "c_label")}) AS model, {_features_sql("c_label")} FROM part2),
+ met AS (SELECT i.k, c.k AS ordinal, c.c_label, array_to_string(list_sort(list_intersect(i.model, c.model)), ' ') AS common,
+ array_to_string(list_sort(list_filter(i.model, lambda w: NOT list_contains(c.model, w))), ' ') AS a, array_to_string(list_sort(list_filter(c.model, lambda w: NOT list_contains(i.model, w))), ' ') AS b
+ FROM i JOIN c ON i.supplier = c.supplier WHERE len(i.model) >= 2 AND i.discriminants = c.discriminants AND len(list_intersect(i.words, c.words)) > 0 AND (len(i.numbers) = 0 OR len(c.numbers) = 0 OR len(list_intersect(i.numbers, c.numbers)) > 0)),
+ ends AS (SELECT *, CASE WHEN common = '' OR a = '' THEN a ELSE ' ' || a END AS ea, CASE WHEN common = '' OR b = '' THEN b ELSE ' ' || b END AS eb FROM met),
+ grown AS (SELECT *, length(ea) - bit_count(list_reduce(string_split(eb, ''), lambda v, ch: ((v + (v & mask[ch])) | xor(v, v & mask[ch])) & ((CAST(1 AS BIGINT) << CAST(length(ea) AS BIGINT)) - 1), (CAST(1 AS BIGINT) << CAST(length(ea) AS BIGINT)) - 1)) AS tail
+ FROM (SELECT *, map_from_entries([(ch, CAST(coalesce(list_sum([{_BIT} for i in range(1, length(ea) + 1) if substr(ea, i, 1) = ch]), 0) AS BIGINT)) for ch in list_distinct(string_split(eb, ''))]) AS mask FROM (SELECT DISTINCT ea, eb FROM ends WHERE ea <> '' AND eb <> ''))),
+ scored AS (SELECT k, ordinal, c_label AS candidate, CASE WHEN common <> '' AND (ea = '' OR eb = '') THEN 100e0 ELSE greatest(200e0 * (length(common) + tail) / (2 * length(common) + length(ea) + length(eb)),
+ CASE WHEN common <> '' THEN 200e0 * length(common) / (2 * length(common) + length(ea)) ELSE 0e0 END, CASE WHEN common <> '' THEN 200e0 * length(common) / (2 * length(common) + length(eb)) ELSE 0e0 END) END AS score FROM ends LEFT JOIN grown USING (ea, eb)),
+ best AS (SELECT *, row_number() OVER w AS rn, coalesce(lead(score) OVER w, 0e0) AS second FROM scored WINDOW w AS (PARTITION BY k ORDER BY score DESC, candidate))"""
+
+
+@query(
+    f"""WITH {_BEST_MODEL}, told AS (SELECT p.c_label AS expected, b.candidate, b.score, coalesce(b.score >= t AND b.score - b.second >= 8, false) AS given, t AS threshold FROM part2 p LEFT JOIN best b ON b.k = p.k AND b.rn = 1, unnest([84e0, 88e0, 92e0]) AS u(t)),
+ n AS (SELECT threshold, count(*) FILTER (WHERE given AND candidate = expected) AS n_right, count(*) FILTER (WHERE given AND candidate <> expected) AS n_wrong, count(*) FILTER (WHERE NOT given) AS n_silent FROM told GROUP BY 1)
+ SELECT *, n_right / CAST(nullif(n_right + n_wrong, 0) AS DOUBLE) AS precision, n_right / CAST(nullif(n_right + n_wrong + n_silent, 0) AS DOUBLE) AS recall FROM n"""
+)
 def label_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, catalogue = _labelled(spark, sf_dir)
     pairs = M.scored_models(items, M.indexed(catalogue))
@@ -163,7 +197,11 @@ def label_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.calibrated(truth, pairs, [84, 88, 92])
 
 
-@query()
+@query(
+    f"""WITH {_BEST_MODEL}, priced AS (SELECT CAST(b.k AS VARCHAR) AS item_code, candidate, score, second, c.price * CASE WHEN c.k % 4 = 0 THEN 12e0 ELSE 1.1e0 END / CASE WHEN i.price > 0 THEN i.price END AS ratio FROM best b JOIN part2 c ON c.k = b.ordinal JOIN part2 i ON i.k = b.k WHERE rn = 1 AND score >= 88 AND score - second >= 8),
+ v AS (SELECT *, CASE WHEN ratio IS NULL THEN 'proposed' WHEN ratio BETWEEN 0.8e0 AND 1.25e0 THEN 'corroborated' WHEN ratio BETWEEN 0.5e0 AND 2e0 THEN 'plausible' WHEN {round_pack_sql("ratio")} IS NOT NULL THEN 'pack size' ELSE 'rejected' END AS price_verdict FROM priced)
+ SELECT item_code, candidate, score, second, price_verdict, CASE WHEN count(*) OVER (PARTITION BY candidate) > 1 THEN 'shared candidate' ELSE price_verdict END AS level FROM v"""
+)
 def label_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, catalogue = _labelled(spark, sf_dir)
     best = M.unique_best(M.scored_models(items, M.indexed(catalogue))).where("reason = ''")
@@ -171,7 +209,27 @@ def label_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.reviewed(M.corroborated(priced)).select("item_code", "candidate", "score", "second", "price_verdict", "level")
 
 
-@query()
+_NO_MODEL = "'[0-9]{1,3}|[0-9]+(ML|CL|L|GR?|KG)'"
+_GLUED = f"list_filter(list_transform(list_filter({{grams}}, lambda g: len(list_filter(g, lambda p: regexp_full_match(p, '[0-9]+'))) > 0 AND len(list_filter(g, lambda p: length(p) > 4 AND NOT regexp_matches(p, '[0-9]'))) = 0), lambda g: array_to_string(g, '')), lambda t: length(t) BETWEEN 4 AND 12 AND NOT regexp_full_match(t, {_NO_MODEL}))"
+
+
+def _tokens_sql(label: str) -> str:
+    ws = _W.replace("{c}", label)
+    spoken = _W.replace("{c}", f"regexp_replace(upper({label}), '\\b[0-9]+([.,][0-9]+)?\\s*(ML|CL|L|GR?|KG)\\b', ' ', 'g')")
+    grams = f"list_concat([{spoken}[j:j + 1] for j in range(1, len({spoken}))], [{spoken}[j:j + 2] for j in range(1, len({spoken}) - 1)])"
+    kept = f"list_filter({ws}, lambda w: length(w) >= 3 AND NOT list_contains({list(L.DEFAULT.stop + L.DEFAULT.discriminant + L.DEFAULT.suffixes)}, w) AND NOT regexp_full_match(w, {_NO_MODEL}))"
+    return f"list_distinct(list_concat({kept}, {_GLUED.replace('{grams}', grams)}))"
+
+
+#: The labels have no capacities, traits, sides, letter sizes or suffixes, so variants are compared by numbers and discriminants.
+@query(
+    f"""WITH {_LABELLED}, i AS (SELECT k, supplier, price, {_tokens_sql("label")} AS tokens, {_features_sql("label")} FROM part2), c AS (SELECT k, supplier, c_label, price * CASE WHEN k % 4 = 0 THEN 12e0 ELSE 1.1e0 END AS price, {_tokens_sql("c_label")} AS tokens, {_features_sql("c_label")} FROM part2),
+ ct AS (SELECT k, supplier, unnest(tokens) AS w FROM c), useful AS (SELECT supplier, w FROM ct GROUP BY 1, 2 HAVING count(*) < greatest(3, (SELECT count(*) FROM c WHERE c.supplier = ct.supplier) / 2e0)),
+ met AS (SELECT it.k, ct.k AS ordinal, count(*) AS n_common FROM (SELECT k, supplier, unnest(tokens) AS w FROM i) it JOIN useful USING (supplier, w) JOIN ct USING (supplier, w) GROUP BY 1, 2),
+ fit AS (SELECT m.*, c.c_label, abs(c.price / CASE WHEN i.price > 0 THEN i.price END - 1) AS gap FROM met m JOIN i ON i.k = m.k JOIN c ON c.k = m.ordinal WHERE (len(i.numbers) = 0 OR len(c.numbers) = 0 OR len(list_intersect(i.numbers, c.numbers)) > 0)
+ AND (len(i.discriminants) = 0 OR len(c.discriminants) = 0 OR len(list_intersect(i.discriminants, c.discriminants)) > 0))
+ SELECT CAST(k AS VARCHAR) AS item_code, CAST(rank AS INT) AS rank, c_label AS o_label, n_common, gap FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n_common DESC, gap, ordinal, c_label) AS rank FROM fit) WHERE rank <= 4"""
+)
 def model_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, catalogue = _labelled(spark, sf_dir)
     return M.by_model(items, catalogue).select("item_code", "rank", "o_label", "n_common", "gap")

@@ -352,7 +352,16 @@ def compound_discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("pct", P.compound_discount(F.col("text")))
 
 
-@query()
+@query(
+    f"""WITH {MATCHED}, r AS (SELECT m.*, i.family AS supplier, CASE WHEN m.old_price > 0 THEN offer_price / m.old_price END AS ratio, CASE WHEN m.k % 7 > 0 THEN CAST(m.k % 7 * 2 AS INT) END AS n FROM matched m JOIN items i USING (item_code)),
+ t AS (SELECT *, n IS NOT NULL AND (ratio IS NULL OR (ratio > sqrt(n) AND ratio >= n / 1.5e0 AND ratio <= n * 1.5e0)) AS trusted FROM r),
+ packs AS (SELECT supplier, {round_pack_sql("ratio")} AS pack FROM t WHERE NOT trusted AND ratio IS NOT NULL), c AS (SELECT supplier, pack, count(*) AS n_on, sum(count(*)) OVER (PARTITION BY supplier) AS total FROM packs GROUP BY 1, 2),
+ f AS (SELECT supplier, pack AS factor FROM (SELECT *, row_number() OVER (PARTITION BY supplier ORDER BY n_on DESC, pack) AS rn FROM c WHERE pack IS NOT NULL) WHERE rn = 1 AND total >= 5 AND pack >= 5 AND n_on >= 0.6 * total),
+ d AS (SELECT t.*, factor, NOT trusted AND factor IS NOT NULL AND offer_price IS NOT NULL AND (ratio IS NULL OR (ratio > sqrt(factor) AND ratio >= factor / 1.5e0 AND ratio <= factor * 1.5e0)) AS taken FROM t LEFT JOIN f USING (supplier)),
+ e AS (SELECT *, CAST(CASE WHEN trusted THEN n WHEN taken THEN factor ELSE 1 END AS DOUBLE) AS divisor FROM d)
+ SELECT item_code, divisor, CASE WHEN trusted THEN 'label' WHEN taken THEN 'systematic' ELSE 'none' END AS divisor_source, offer_price / divisor AS unit_price, CASE WHEN divisor > 1 THEN divisor ELSE 1e0 END AS min_order,
+ CASE WHEN n IS NOT NULL AND NOT trusted THEN 'label says ' || CAST(n AS VARCHAR) || ', the old price contradicts' END AS refused, ratio IS NULL AND (n IS NOT NULL OR taken) AS uncorroborated FROM e"""
+)
 def pack_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = matched(spark, sf_dir)
     rows = m.select("item_code", F.col("family").alias("supplier"), "offer_price", "old_price", F.concat(F.lit("box of "), (F.col("k") % 7 * 2).cast("string")).alias("offer_label"), F.col("label").alias("item_label"), F.col("offer_pack"), F.lit(True).alias("pack_assumed"), F.lit(False).alias("has_tiers"), F.lit(False).alias("validated"))
