@@ -10,7 +10,7 @@ from test_queries import plain
 
 #: All of 1000000 to 1000009 are cut to the reference of 100000.
 PARTS = [7, 100000, *range(1000000, 1000010)]
-NAMES = ["match_cascade", "pack_inference", "decided_prices", "aberrant_prices", "item_state", "price_alerts"]
+NAMES = ["match_cascade", "pack_inference", "decided_prices", "aberrant_prices", "item_state", "price_alerts", "price_buckets"]
 
 
 @pytest.fixture(scope="module")
