@@ -42,7 +42,7 @@ def test_ties(spark, folders, name):
 
 #: Keys past six digits too, but no two are cut to the same reference.
 ALONE = [7, *range(1000000, 1000300, 11)]
-ALONE_NAMES = ["aberrant_prices", "match_cascade", "price_alerts", "decided_prices", "price_buckets", "item_state"]
+ALONE_NAMES = ["aberrant_prices", "match_cascade", "price_alerts", "decided_prices", "price_buckets", "item_state", "pack_inference"]
 
 
 @pytest.fixture(scope="module")
